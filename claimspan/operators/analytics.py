@@ -26,8 +26,8 @@ from claimspan.functions.measures import (
 )
 from claimspan.functions.ranking import rank_descending
 
-#: Ranking buckets for a ratio between 0 and 1: one per ten-thousandth.
-RATE_BUCKETS = 10_000
+#: A ratio between 0 and 1 is ranked by its first 51 binary places; the rest orders ties inside.
+RATE_BITS = 51
 
 
 def count_status(claims: DataFrame, status: str) -> DataFrame:
@@ -50,7 +50,8 @@ def denial_rate_by_specialty(claims: DataFrame, providers: DataFrame) -> DataFra
         rates,
         by=["specialty"],
         value="_rate",
-        bucket=F.floor(F.col("_rate") * RATE_BUCKETS),
+        code=F.floor(F.col("_rate") * float(1 << RATE_BITS)),
+        code_bits=RATE_BITS,
         rank="rank_within_specialty",
     )
     return ranked.drop("_rate").orderBy("specialty", "rank_within_specialty")

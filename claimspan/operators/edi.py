@@ -340,15 +340,19 @@ def write_834(
     order_by: Sequence[str],
     control_number: int = 1,
     created: datetime = datetime(2026, 1, 1, 9, 30),
-    files: int = 1,
+    files: int | None = None,
+    members_per_file: int = 250_000,
     partners: Mapping[str, str] = PARTNERS,
 ) -> None:
-    """Write members as ``files`` complete 834 interchanges, one text file each.
+    """Write members as complete 834 interchanges, one text file each.
 
-    Members are dealt out evenly and staged once in the shared scratch folder; each file gets its
-    own envelope, control number and SE count, so files can be written and later read in parallel.
+    Without ``files`` their number follows from ``members_per_file``. Members are dealt out evenly
+    and staged once in the shared scratch folder; each file gets its own envelope, control number
+    and SE count, so files can be written and later read in parallel.
     """
     spark = members.sparkSession
+    if files is None:
+        files = max(1, -(-members.count() // members_per_file))
     staged_path = scratch_dir(spark, "export-834")
     (
         member_segments(members)
@@ -362,10 +366,9 @@ def write_834(
         .write.parquet(staged_path)
     )
     body = spark.read.parquet(staged_path)
-    counts = body.groupBy("file_no").agg(F.sum("n").alias("n"))
-    if files == 1:  # an empty batch still gives one valid, empty interchange
-        counts = counts.unionByName(spark.range(1).select(F.lit(0).alias("file_no"), F.lit(0).alias("n")))
-        counts = counts.groupBy("file_no").agg(F.sum("n").alias("n"))
+    # File 0 exists even for an empty batch, as a valid interchange without members.
+    first = spark.range(1).select(F.lit(0).alias("file_no"), F.lit(0).alias("n"))
+    counts = body.select("file_no", "n").unionByName(first).groupBy("file_no").agg(F.sum("n").alias("n"))
 
     control = F.lpad((F.col("file_no") + control_number).cast("string"), 9, "0")
     day, time = f"{created:%Y%m%d}", f"{created:%H%M}"

@@ -80,7 +80,7 @@ NO_PROVIDER = "provider not found"
 
 
 def convert_claims(raw: DataFrame, on_error: str = "reject") -> DataFrame:
-    """Add a typed ``conv_*`` column per inbound column and the list ``conversion_errors``.
+    """Add a typed ``conv_*`` column per inbound column and ``conversion_errors`` ("" when all convert).
 
     Empty text stays NULL and is no error, except for the claim id. ``on_error="fail"`` stops the run at the first bad value.
     """
@@ -92,7 +92,7 @@ def convert_claims(raw: DataFrame, on_error: str = "reject") -> DataFrame:
     def add(name: str, value: Column, message: str) -> None:
         typed[f"conv_{name}"] = value
         given = F.col(name).isNotNull() & (F.trim(F.col(name)) != "")
-        errors.append(F.when(given & value.isNull(), F.lit(f"{name}: {message}")))
+        errors.append(F.when(given & F.col(f"conv_{name}").isNull(), F.lit(f"{name}: {message}")))
 
     for name in ID_COLUMNS:
         add(name, F.trim(F.col(name)).try_cast("bigint"), "not a whole number")
@@ -105,15 +105,12 @@ def convert_claims(raw: DataFrame, on_error: str = "reject") -> DataFrame:
     errors.append(F.when(F.coalesce(F.trim("claim_id"), F.lit("")) == "", F.lit("claim_id: missing")))
     typed["conv_claim_status"] = normalize_status(typed["conv_claim_status"])
     converted = raw.select("*", *[c.alias(n) for n, c in typed.items()]).withColumn(
-        "conversion_errors", F.array_compact(F.array(*errors))
+        "conversion_errors", F.concat_ws("; ", *errors)
     )
     if on_error == "fail":
-        first = F.concat(F.lit("claim conversion failed: "), F.element_at("conversion_errors", 1))
+        stop = F.raise_error(F.concat(F.lit("claim conversion failed: "), "conversion_errors")).cast("string")
         converted = converted.withColumn(
-            "conversion_errors",
-            F.when(F.size("conversion_errors") > 0, F.raise_error(first).cast("array<string>")).otherwise(
-                F.col("conversion_errors")
-            ),
+            "conversion_errors", F.when(F.col("conversion_errors") != "", stop).otherwise(F.col("conversion_errors"))
         )
     return converted
 
@@ -126,7 +123,7 @@ def classify_claims(
     provider_keys = providers.select(F.col("provider_id").alias("_provider")).distinct()
     reason = F.when(F.col("_member").isNull(), F.lit(NO_MEMBER)).when(F.col("_provider").isNull(), F.lit(NO_PROVIDER))
     if errors:
-        reason = F.when(F.size(errors) > 0, F.array_join(errors, "; ")).otherwise(reason)
+        reason = F.when(F.col(errors) != "", F.col(errors)).otherwise(reason)
     return (
         claims.join(member_keys, F.col(f"{prefix}member_id") == F.col("_member"), "left")
         .join(provider_keys, F.col(f"{prefix}provider_id") == F.col("_provider"), "left")
@@ -216,7 +213,7 @@ def load_new_claims(
         fresh.withColumn("load_timestamp", F.lit(run_timestamp)).write.parquet(fresh_path)
         fresh = spark.read.parquet(fresh_path)
         fresh.write.mode("append").parquet(target)
-        write_rejects(rejected.withColumn("conversion_errors", F.array_join("conversion_errors", "; ")), reject_path)
+        write_rejects(rejected, reject_path)
         counts = staged.agg(
             F.count("*").alias("source"), F.count("reject_reason").alias("rejected")
         ).first()

@@ -16,7 +16,8 @@ def contract_ranks(contracts: DataFrame) -> DataFrame:
         slim,
         by=["contract_type"],
         value="rate_modifier",
-        bucket=F.floor(F.col("rate_modifier") * 100),  # decimal(5,4): at most 2,000 buckets
+        code=F.col("rate_modifier") * 10_000,
+        code_bits=18,
         rank="rate_modifier_rank",
         dense_rank="rate_modifier_dense_rank",
     ).orderBy("contract_type", "rate_modifier_rank")
@@ -93,8 +94,5 @@ def provider_rank(claims: DataFrame, providers: DataFrame, predicate: Column | N
         .groupBy("provider_name")
         .agg(money(F.sum("billed")).alias("total_billed"))
     )
-    # 200 buckets per power of e: at most about 8,300 for decimal(18,2), whatever the data.
-    size = F.greatest(F.coalesce(F.col("total_billed"), F.lit(0)), F.lit(0)).cast("double")
-    below_zero = F.when(F.col("total_billed") < 0, -F.floor(F.log1p(-F.col("total_billed").cast("double")) * 200) - 1)
-    bucket = F.coalesce(below_zero, F.floor(F.log1p(size) * 200))
-    return rank_descending(totals, by=[], value="total_billed", bucket=bucket, dense_rank="provider_rank")
+    cents = (F.coalesce(F.col("total_billed"), F.lit(0)) * 100).cast("bigint")
+    return rank_descending(totals, [], "total_billed", code=cents, code_bits=64, dense_rank="provider_rank")

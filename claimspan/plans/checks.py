@@ -450,9 +450,7 @@ add(
 )
 add(
     "D4_convert_claims",
-    lambda t: etl.convert_claims(t.inbound)
-    .withColumn("errors", F.array_join("conversion_errors", "; "))
-    .drop("conversion_errors"),
+    lambda t: etl.convert_claims(t.inbound).withColumnRenamed("conversion_errors", "errors"),
     """select *, try_cast(claim_id as bigint) as conv_claim_id, cast(member_id as bigint) as conv_member_id,
               cast(provider_id as bigint) as conv_provider_id,
               try_cast(billed_amount as decimal(10,2)) as conv_billed_amount,

@@ -20,18 +20,22 @@ def grid_join(
     condition: Column,
     left_id: str,
     right_id: str,
+    bound: DataFrame,
     rows_per_cell: int = ROWS_PER_CELL,
 ) -> DataFrame:
     """Inner join on ``keys`` and ``condition``, with hot key groups cut into a grid of cells.
 
-    A first job counts rows per key on both sides. A key with n left and m right rows beyond
-    ``rows_per_cell`` is split into ceil(n/r) x ceil(m/r) cells: each left row goes to one grid
-    row (by hash of its id) and all its columns, each right row to one grid column and all its
-    rows, so every pair meets in exactly one cell. Without hot keys this is the plain join.
+    ``bound`` is a cheap aggregate whose column ``_n`` bounds the rows per key on both sides. One
+    job tests it; if nothing exceeds ``rows_per_cell`` this is the plain join. Otherwise rows are
+    counted per key, and a key with n left and m right rows is split into ceil(n/r) x ceil(m/r)
+    cells: each left row goes to one grid row (by hash of its id) and all its columns, each right
+    row to one grid column and all its rows, so every pair meets in exactly one cell.
 
     Column names of the two sides must differ apart from ``keys``.
     """
     spark = left.sparkSession
+    if not bound.filter(F.col("_n") > rows_per_cell).take(1):
+        return left.join(right, keys).filter(condition)
     left_counts = left.groupBy(*keys).agg(F.count("*").alias("_left_rows"))
     right_counts = right.groupBy(*keys).agg(F.count("*").alias("_right_rows"))
     hot = (
@@ -75,11 +79,13 @@ def pairs_within_days(df: DataFrame, keys: list[str], date_col: str, days: int)
     per_day = (
         df.filter(present)
         .groupBy(*keys, F.unix_date(F.col(date_col)).alias("_day"))
-        .agg(F.count("*").cast("decimal(38,0)").alias("_n"))
+        .agg(F.count("*").alias("_n"))
     )
     later = Window.partitionBy(*keys).orderBy("_day").rangeBetween(1, days)
-    partners = F.coalesce(F.sum("_n").over(later), F.lit(0)).cast("decimal(19,0)")
-    n = F.col("_n").cast("decimal(19,0)")
-    return per_day.select(((n * (n - 1)) / 2).cast("decimal(38,0)").alias("same_day"), (n * partners).alias("other_day")).agg(
-        F.coalesce(F.sum("same_day") + F.sum("other_day"), F.lit(0)).cast("bigint").alias("pair_count")
+    partners = F.coalesce(F.sum("_n").over(later), F.lit(0))
+    # n(n-1)/2 on the same day + n * partners, doubled to stay whole; decimal so that it cannot overflow.
+    n = F.col("_n").cast("decimal(18,0)")
+    doubled = n * ((F.col("_n") - 1 + 2 * partners).cast("decimal(18,0)"))
+    return per_day.select(doubled.alias("_pairs")).agg(
+        F.coalesce(F.sum("_pairs") / 2, F.lit(0)).cast("decimal(38,0)").alias("pair_count")
     )

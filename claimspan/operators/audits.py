@@ -156,7 +156,9 @@ def near_duplicates(
     in_band = ((gap > 0) & (gap <= days) & (F.col("a_claim_id") != F.col("b_claim_id"))) | (
         (gap == 0) & (F.col("a_claim_id") < F.col("b_claim_id"))
     )
-    pairs = grid_join(earlier, later, keys, in_band, "a_claim_id", "b_claim_id", rows_per_cell)
+    # ``earlier`` holds a claim under two buckets, so a key has at most twice the largest bucket.
+    bound = later.groupBy(*keys).agg((F.count("*") * 2).alias("_n"))
+    pairs = grid_join(earlier, later, keys, in_band, "a_claim_id", "b_claim_id", bound, rows_per_cell)
     a_first = F.col("a_claim_id") < F.col("b_claim_id")
 
     def both(column: str) -> list[Column]:
@@ -180,7 +182,8 @@ DIFFERENT_PROVIDER = "Different Provider"
 def near_duplicate_summary(claims: DataFrame, days: int = 7) -> DataFrame:
     """Near-duplicate pairs by provider match, counted from daily totals without building pairs.
 
-    A pair with a missing provider counts as different.
+    A pair with a missing provider counts as different. ``pair_count`` is a bigint, the range of
+    COUNT(*); the sums before it are decimals.
     """
     everyone = pairs_within_days(claims, ["member_id"], "service_date", days).select(F.col("pair_count").alias("_all"))
     same = pairs_within_days(claims, ["member_id", "provider_id"], "service_date", days)
@@ -188,10 +191,12 @@ def near_duplicate_summary(claims: DataFrame, days: int = 7) -> DataFrame:
         same.select(
             F.explode(
                 F.array(
-                    F.struct(F.lit(SAME_PROVIDER).alias("provider_match"), F.col("pair_count")),
+                    F.struct(
+                        F.lit(SAME_PROVIDER).alias("provider_match"), F.col("pair_count").cast("bigint").alias("pair_count")
+                    ),
                     F.struct(
                         F.lit(DIFFERENT_PROVIDER).alias("provider_match"),
-                        (everyone.scalar() - F.col("pair_count")).alias("pair_count"),
+                        (everyone.scalar() - F.col("pair_count")).cast("bigint").alias("pair_count"),
                     ),
                 )
             ).alias("r")
@@ -232,8 +237,9 @@ def contract_overlaps(contracts: DataFrame, rows_per_cell: int = ROWS_PER_CELL)
     overlap = (
         ((a_start < b_start) & (a_id != b_id)) | ((a_start == b_start) & (a_id < b_id))
     ) & (b_start <= F.coalesce("a_end_date", far)) & (a_start <= F.coalesce("b_end_date", far))
+    bound = slim.groupBy("provider_id").agg(F.count("*").alias("_n"))
     pairs = grid_join(
-        covering, starting, ["provider_id", "_year"], overlap, "a_contract_id", "b_contract_id", rows_per_cell
+        covering, starting, ["provider_id", "_year"], overlap, "a_contract_id", "b_contract_id", bound, rows_per_cell
     )
     a_first = a_id < b_id
 

@@ -125,19 +125,23 @@ add(
     lambda t: etl.dedupe_latest(t.claims_redelivered, ["claim_id"], ["load_timestamp"]).select(*NO_TIME, load_date()),
     f"select {ROW} from {LATEST}",
 )
+
+
+def _next_delivery(t):
+    """Everything delivered again under ids 1000 higher: most update a claim, some are new."""
+    return t.claims_redelivered.withColumn("claim_id", F.col("claim_id") + 1000)
+
+
+NEXT_DELIVERY = """(select * replace (claim_id + 1000 as claim_id) from claims_redelivered
+                    qualify row_number() over (partition by claim_id order by load_timestamp desc) = 1)"""
 add(
     "S9_upsert",
-    lambda t: etl.upsert(
-        t.claims.filter("service_date < date'1999-01-01'"),
-        t.claims_redelivered.filter("service_date >= date'1998-01-01'"),
-        ["claim_id"],
-        ["load_timestamp"],
-    ).select(*NO_TIME, load_date()),
-    f"""with newer as (select * from {LATEST} where service_date >= date '1998-01-01')
+    lambda t: etl.upsert(t.claims, _next_delivery(t), ["claim_id"], ["load_timestamp"]).select(
+        *NO_TIME, load_date()
+    ),
+    f"""with newer as {NEXT_DELIVERY}
         select {ROW} from (
-          select * from newer union all
-          select * from claims where service_date < date '1999-01-01'
-            and claim_id not in (select claim_id from newer))""",
+          select * from newer union all select * from claims where claim_id not in (select claim_id from newer))""",
 )
 add(
     "T1_load_since",
@@ -149,11 +153,10 @@ add(
 )
 add(
     "T3_dedupe_append",
-    lambda t: incremental.dedupe_append(
-        t.claims.filter("service_date < date'1998-01-01'"), t.claims_redelivered, "claim_id", ["load_timestamp"]
-    ).select(*NO_TIME, load_date()),
-    f"""select {ROW} from {LATEST} where claim_id not in (
-          select claim_id from claims where service_date < date '1998-01-01')""",
+    lambda t: incremental.dedupe_append(t.claims, _next_delivery(t), "claim_id", ["load_timestamp"]).select(
+        *NO_TIME, load_date()
+    ),
+    f"select {ROW} from {NEXT_DELIVERY} where claim_id not in (select claim_id from claims)",
 )
 
 # ---------------------------------------------------------------- quality scores

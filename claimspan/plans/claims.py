@@ -410,14 +410,15 @@ add(
     """select denial_reason, payer_name, count(*) as denied_claims
        from claims join payer using (payer_id) where claim_status = 'Denied' group by 1, 2""",
 )
+PAYERS = [f"NATION_{i}" for i in range(25)]
+_per_payer = ", ".join(
+    f"nullif(count(*) filter (where payer_name = '{p}'), 0) as {p}" for p in PAYERS
+)
 add(
     "A21_reason_by_payer_matrix",
-    lambda t: analytics.reason_by_payer_matrix(t.claims, t.payer, ["NATION_0", "NATION_1", "NATION_2"]),
-    """select denial_reason,
-              cast(nullif(count(*) filter (where payer_name = 'NATION_0'), 0) as bigint) as NATION_0,
-              cast(nullif(count(*) filter (where payer_name = 'NATION_1'), 0) as bigint) as NATION_1,
-              cast(nullif(count(*) filter (where payer_name = 'NATION_2'), 0) as bigint) as NATION_2
-       from claims join payer using (payer_id) where claim_status = 'Denied' group by 1""",
+    lambda t: analytics.reason_by_payer_matrix(t.claims, t.payer, PAYERS),
+    f"""select denial_reason, {_per_payer}
+        from claims join payer using (payer_id) where claim_status = 'Denied' group by 1""",
 )
 add(
     "A22_denied_by_category",

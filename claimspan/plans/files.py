@@ -298,7 +298,7 @@ add(
     .agg(F.count("*").alias("segments_in_loop"))
     .groupBy("segments_in_loop")
     .agg(F.count("*").alias("loops")),
-    """select 6 + cast(member_id <> '' as int) + cast(plan_code <> '' as int) + cast(phone <> '' as int)
+    """select cast(6 + cast(member_id <> '' as int) + cast(plan_code <> '' as int) + cast(phone <> '' as int) as bigint)
                 as segments_in_loop, count(*) as loops
        from enrollment group by 1""",
 )
@@ -390,7 +390,7 @@ add(
         F.sum("segment_count").alias("segment_count"),
         F.every("matches").alias("all_match"),
     ),
-    f"""select 4 as transactions, count(*) + 20 as declared_count, count(*) + 20 as segment_count, true as all_match
+    f"""select cast(4 as bigint) as transactions, count(*) + 20 as declared_count, count(*) + 20 as segment_count, true as all_match
         from ({SEGMENTS})""",
 )
 

@@ -18,6 +18,8 @@ TABLES = (
     " conversations"
 ).split()
 
+SAME_TYPE = {"int": "INTEGER", "string": "VARCHAR"}
+
 
 def oracle(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
@@ -49,6 +51,10 @@ def compare(spark, con, sf_dir, build, sql) -> str:
     theirs_columns = [d[0] for d in result.description]
     if sorted(columns) != sorted(theirs_columns):
         return f"columns {sorted(columns)} != {sorted(theirs_columns)}"
+    spark_types = {name: SAME_TYPE.get(kind, kind.upper()) for name, kind in df.dtypes}
+    oracle_types = {d[0]: str(d[1]) for d in result.description}
+    if spark_types != oracle_types:
+        return f"types {sorted(set(spark_types.items()) ^ set(oracle_types.items()))}"
     theirs = canonical(result.fetchall(), theirs_columns)
     if not ours:
         return "no rows"

@@ -54,7 +54,7 @@ def denial_rate_by_specialty(claims: DataFrame, providers: DataFrame) -> DataFra
         code_bits=RATE_BITS,
         rank="rank_within_specialty",
     )
-    return ranked.drop("_rate").orderBy("specialty", "rank_within_specialty")
+    return ranked.drop("_rate").orderBy("specialty", "rank_within_specialty", "provider_name")
 
 
 def turnaround(claims: DataFrame, providers: DataFrame, payer: DataFrame) -> DataFrame:
@@ -79,7 +79,7 @@ def turnaround(claims: DataFrame, providers: DataFrame, payer: DataFrame) -> Dat
             F.min("days_min").alias("min_days"),
             F.max("days_max").alias("max_days"),
         )
-        .orderBy(F.col("avg_days_to_load").desc())
+        .orderBy(F.col("avg_days_to_load").desc(), "provider_name", "specialty", "payer_name")
     )
 
 
@@ -153,7 +153,7 @@ def denial_rate_by_provider(claims: DataFrame) -> DataFrame:
         claims.groupBy("provider_id")
         .agg(F.count("claim_id").alias("total_claims"), F.count_if(has_status(DENIED)).alias("denied_claims"))
         .withColumn("denial_rate_pct", percent("denied_claims", "total_claims"))
-        .orderBy(F.col("denial_rate_pct").desc())
+        .orderBy(F.col("denial_rate_pct").desc(), "provider_id")
     )
 
 
@@ -167,7 +167,7 @@ def member_totals(claims: DataFrame) -> DataFrame:
     return (
         per_claim.groupBy("member_id")
         .agg(F.count("claim_id").alias("total_claims"), money(F.sum("billed")).alias("total_billed"))
-        .orderBy(F.col("total_billed").desc())
+        .orderBy(F.col("total_billed").desc(), "member_id")
     )
 
 

@@ -117,7 +117,7 @@ def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         df.groupBy(*keys)
         .agg(F.count("*").alias("duplicate_count"))
         .filter("duplicate_count > 1")
-        .orderBy(F.col("duplicate_count").desc())
+        .orderBy(F.col("duplicate_count").desc(), *keys)
     )
 
 

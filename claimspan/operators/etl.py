@@ -22,8 +22,22 @@ def copy_table(source: DataFrame, target: str) -> None:
     source.write.mode("overwrite").parquet(target)
 
 
-def save_table(df: DataFrame, name: str, mode: str = "overwrite", path: str | None = None) -> None:
+def save_table(
+    df: DataFrame,
+    name: str,
+    mode: str = "overwrite",
+    path: str | None = None,
+    partition_by: Sequence[str] = (),
+    bucket_by: tuple[int, Sequence[str]] | None = None,
+) -> None:
+    """Create a table from a frame. The layout takes the place of indexes: ``partition_by`` lets
+    scans skip folders, ``bucket_by`` lets joins and aggregates on those columns skip the shuffle."""
     writer = df.write.mode(mode).format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        count, columns = bucket_by
+        writer = writer.bucketBy(count, *columns).sortBy(*columns)
     (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
@@ -41,7 +55,7 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Se
 
     A row without a full key cannot match, so it is always kept or added.
     """
-    newest = latest_rows(updates, keys, order) if order else updates.dropDuplicates(list(keys))
+    newest = latest_rows(updates, keys, order)
     return target.join(newest.select(*keys), list(keys), "left_anti").unionByName(newest)
 
 
@@ -50,7 +64,7 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Se
 
 def dedupe(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """Drop rows that repeat completely, or repeat the keys. Copies fold inside each task first."""
-    return df.dropDuplicates(list(keys)) if keys else df.dropDuplicates()
+    return latest_rows(df, keys, []) if keys else df.dropDuplicates()
 
 
 def latest_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -60,6 +74,8 @@ def latest_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     gathers in one sort as ``row_number`` would make it.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
+    if not rest and not order:
+        return df.dropDuplicates()
     newest = F.max(F.struct(*order, *rest)).alias("_row")
     return df.groupBy(*keys).agg(newest).select(*keys, "_row.*").select(*df.columns)
 
@@ -349,7 +365,7 @@ def terminate_providers(
 
 def backfill_payer(claims: DataFrame, mapping: DataFrame) -> DataFrame:
     """Fill a missing payer from a (member_id, payer_id) table."""
-    lookup = mapping.select("member_id", F.col("payer_id").alias("_payer")).dropDuplicates(["member_id"])
+    lookup = mapping.groupBy("member_id").agg(F.min("payer_id").alias("_payer"))
     return (
         claims.join(lookup, "member_id", "left")
         .withColumn("payer_id", F.coalesce("payer_id", "_payer"))

@@ -1,4 +1,8 @@
-"""Parameterized lookups and report data. Parameters are checked before any job starts."""
+"""Parameterized lookups and report data. Parameters are checked before any job starts.
+
+Sorted results end in a unique column: a sort splits rows by key ranges, so a day or amount shared
+by very many rows would otherwise end up in one task.
+"""
 
 from __future__ import annotations
 
@@ -65,7 +69,7 @@ def member_claims(
             "claim_status",
             "denial_reason",
         )
-        .orderBy(F.col("service_date").desc())
+        .orderBy(F.col("service_date").desc(), "claim_id")
     )
 
 
@@ -82,7 +86,7 @@ def filter_claims(
         .select(
             "claim_id", "member_name", "provider_name", "service_date", "claim_status", "diagnosis_code", "paid_amount"
         )
-        .orderBy(F.col("service_date").desc())
+        .orderBy(F.col("service_date").desc(), "claim_id")
     )
 
 
@@ -101,7 +105,7 @@ def high_dollar_claims(
         )
         .select("claim_id", "service_date", "billed_amount", "claim_status", "diagnosis_code")
         .join(lookup, "diagnosis_code", "left")
-        .orderBy(F.col("billed_amount").desc())
+        .orderBy(F.col("billed_amount").desc(), "claim_id")
     )
 
 
@@ -118,7 +122,7 @@ def contracts_expiring(contracts: DataFrame, as_of: date, days: int = 90) -> Dat
     return (
         contracts.filter(F.col("end_date").between(today, F.date_add(today, days)))
         .withColumn("days_left", F.datediff("end_date", today))
-        .orderBy("end_date")
+        .orderBy("end_date", "contract_id")
     )
 
 

@@ -20,7 +20,7 @@ def contract_ranks(contracts: DataFrame) -> DataFrame:
         code_bits=18,
         rank="rate_modifier_rank",
         dense_rank="rate_modifier_dense_rank",
-    ).orderBy("contract_type", "rate_modifier_rank")
+    ).orderBy("contract_type", "rate_modifier_rank", "contract_id")
 
 
 def denial_trend(claims: DataFrame) -> DataFrame:

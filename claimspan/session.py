@@ -18,12 +18,29 @@ SETTINGS = {
     "spark.sql.parquet.filterPushdown": "true",
 }
 
+#: Sizes for a large cluster: many small shuffle partitions that adaptive execution merges to about
+#: 128 MB, and stream state outside the JVM heap.
+CLUSTER_SETTINGS = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
 
-def build_session(app_name: str = "claimspan", master: str | None = None, **extra: str) -> SparkSession:
+def build_session(
+    app_name: str = "claimspan", master: str | None = None, cluster: bool = False, **extra: str
+) -> SparkSession:
+    """A session with ``SETTINGS``, and ``CLUSTER_SETTINGS`` if asked for.
+
+    ``extra`` takes more settings with ``__`` for the dots.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **{k.replace("__", "."): v for k, v in extra.items()}}.items():
+    sizes = CLUSTER_SETTINGS if cluster else {}
+    for key, value in {**SETTINGS, **sizes, **{k.replace("__", "."): v for k, v in extra.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

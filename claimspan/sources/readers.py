@@ -100,13 +100,16 @@ def enrich_registry(providers: DataFrame, registry: DataFrame, json_col: str = "
     location = F.get(F.filter("r.addresses", lambda a: a["address_purpose"] == "LOCATION"), F.lit(0))
     fields = parsed.select(
         "npi",
-        F.col("r.basic.credential").alias("npi_credential"),
-        F.col("r.basic.status").alias("npi_status"),
-        location["city"].alias("npi_city"),
-        location["state"].alias("npi_state"),
-        F.get("r.taxonomies", F.lit(0))["desc"].alias("npi_specialty"),
-    ).dropDuplicates(["npi"])
-    return providers.join(fields, "npi", "left")
+        F.struct(
+            F.col("r.basic.credential").alias("npi_credential"),
+            F.col("r.basic.status").alias("npi_status"),
+            location["city"].alias("npi_city"),
+            location["state"].alias("npi_state"),
+            F.get("r.taxonomies", F.lit(0))["desc"].alias("npi_specialty"),
+        ).alias("answer"),
+    )
+    one_each = fields.groupBy("npi").agg(F.max("answer").alias("answer")).select("npi", "answer.*")
+    return providers.join(one_each, "npi", "left")
 
 
 def dim_date(spark: SparkSession, start: date, end: date) -> DataFrame:

@@ -260,3 +260,14 @@ def test_parent_join(spark):
     df = spark.createDataFrame([(1, "root", None), (2, "a", 1), (3, "b", 9)], "id bigint, name string, boss bigint")
     rows = {r.id: r.parent_name for r in analytics.parent_join(df, "id", "boss").collect()}
     assert rows == {1: None, 2: "root", 3: None}
+
+
+def test_bucketed_table_needs_no_shuffle(spark, claims):
+    from claimspan.operators import etl
+
+    etl.save_table(claims, "bucketed_claims", bucket_by=(4, ["provider_id"]))
+    stored = readers.table(spark, "bucketed_claims")
+    plan = analytics.denial_rate_by_provider(stored)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan
+    assert analytics.denial_rate_by_provider(stored).count() == 4
+    spark.sql("drop table bucketed_claims")

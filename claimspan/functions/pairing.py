@@ -1,10 +1,11 @@
-"""Equi join plus a residual condition for groups that may be very large."""
+"""Pairs inside groups that may be very large."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Rows of one side that one join cell holds at most on average.
 ROWS_PER_CELL = 4_000
@@ -12,30 +13,40 @@ ROWS_PER_CELL = 4_000
 #: Hot keys up to this number are broadcast; more of them are joined by shuffle.
 MAX_BROADCAST_HOT_KEYS = 50_000
 
+#: Copies of a pair are written out in steps of this size.
+COPIES_PER_STEP = 10_000
+
+
+def has_large_group(bound: DataFrame, rows_per_cell: int) -> bool:
+    """Whether any row of a cheap aggregate with column ``_n`` exceeds the cell size."""
+    return bool(bound.filter(F.col("_n") > rows_per_cell).take(1))
 
-def grid_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    condition: Column,
-    left_id: str,
-    right_id: str,
-    bound: DataFrame,
-    rows_per_cell: int = ROWS_PER_CELL,
-) -> DataFrame:
-    """Inner join on ``keys`` and ``condition``, with hot key groups cut into a grid of cells.
 
-    ``bound`` is a cheap aggregate whose column ``_n`` bounds the rows per key on both sides. One
-    job tests it; if nothing exceeds ``rows_per_cell`` this is the plain join. Otherwise rows are
-    counted per key, and a key with n left and m right rows is split into ceil(n/r) x ceil(m/r)
-    cells: each left row goes to one grid row (by hash of its id) and all its columns, each right
-    row to one grid column and all its rows, so every pair meets in exactly one cell.
+def fold_copies(df: DataFrame) -> DataFrame:
+    """One row per distinct row and its number of ``_copies``."""
+    return df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+
+
+def unfold_copies(df: DataFrame, copies: Column) -> DataFrame:
+    """Repeat each row ``copies`` times, with only short arrays on the way."""
+    steps = df.withColumn("_todo", copies).withColumn(
+        "_step", F.explode(F.sequence(F.lit(0), F.expr(f"(_todo - 1) div {COPIES_PER_STEP}")))
+    )
+    left_over = F.col("_todo") - F.col("_step") * COPIES_PER_STEP
+    return steps.withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1), F.least(F.lit(COPIES_PER_STEP), left_over).cast("int")))
+    ).drop("_todo", "_step", "_copy")
 
-    Column names of the two sides must differ apart from ``keys``.
+
+def grid_join(left: DataFrame, right: DataFrame, keys: list[str], condition: Column, rows_per_cell: int) -> DataFrame:
+    """Inner join on ``keys`` and ``condition``, with hot key groups cut into a grid of cells.
+
+    Rows are counted per key on both sides. A key with n left and m right rows beyond
+    ``rows_per_cell`` is split into ceil(n/r) x ceil(m/r) cells: each left row goes to one grid row
+    (by hash of its values) and all its columns, each right row to one grid column and all its
+    rows, so every pair meets in exactly one cell. Rows of a side must be distinct, otherwise
+    copies share a cell; column names of the two sides must differ apart from ``keys``.
     """
-    spark = left.sparkSession
-    if not bound.filter(F.col("_n") > rows_per_cell).take(1):
-        return left.join(right, keys).filter(condition)
     left_counts = left.groupBy(*keys).agg(F.count("*").alias("_left_rows"))
     right_counts = right.groupBy(*keys).agg(F.count("*").alias("_right_rows"))
     hot = (
@@ -51,30 +62,29 @@ def grid_join(
     if not found:
         return left.join(right, keys).filter(condition)
     if len(found) <= MAX_BROADCAST_HOT_KEYS:
-        hot = F.broadcast(spark.createDataFrame(found, hot.schema))
+        hot = F.broadcast(left.sparkSession.createDataFrame(found, hot.schema))
 
-    def place(side: DataFrame, row_id: str, own: str, own_size: str, other: str, other_size: str) -> DataFrame:
-        sized = side.join(hot, keys, "left")
+    def place(side: DataFrame, own: str, own_size: str, other: str, other_size: str) -> DataFrame:
+        values = [c for c in side.columns if c not in keys]
         return (
-            sized.withColumn(own, F.pmod(F.xxhash64(row_id), F.coalesce(own_size, F.lit(1))).cast("int"))
+            side.join(hot, keys, "left")
+            .withColumn(own, F.pmod(F.xxhash64(*values), F.coalesce(own_size, F.lit(1))).cast("int"))
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.coalesce(other_size, F.lit(1)) - 1)))
             .drop(own_size, other_size)
         )
 
-    cells_left = place(left, left_id, "_cell_row", "_grid_rows", "_cell_column", "_grid_columns")
-    cells_right = place(right, right_id, "_cell_column", "_grid_columns", "_cell_row", "_grid_rows")
+    cells_left = place(left, "_cell_row", "_grid_rows", "_cell_column", "_grid_columns")
+    cells_right = place(right, "_cell_column", "_grid_columns", "_cell_row", "_grid_rows")
     joined = cells_left.join(cells_right, [*keys, "_cell_row", "_cell_column"])
     return joined.filter(condition).drop("_cell_row", "_cell_column")
 
 
-def pairs_within_days(df: DataFrame, keys: list[str], date_col: str, days: int) -> DataFrame:
+def pairs_within_days(df: DataFrame, keys: Sequence[str], date_col: str, days: int) -> DataFrame:
     """Number of row pairs at most ``days`` apart inside each key, without building a pair.
 
     Rows are first folded to one count per key and day; a range frame over those counts adds the
     partners on later days. A key has at most one row per calendar day at that point.
     """
-    from pyspark.sql import Window
-
     present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*keys, date_col]])
     per_day = (
         df.filter(present)

@@ -9,7 +9,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from claimspan.functions.measures import DENIED, PENDING, has_status, percent
-from claimspan.functions.pairing import ROWS_PER_CELL, grid_join, pairs_within_days
+from claimspan.functions.pairing import (
+    ROWS_PER_CELL,
+    fold_copies,
+    grid_join,
+    has_large_group,
+    pairs_within_days,
+    unfold_copies,
+)
 from claimspan.operators.views import is_active
 
 
@@ -121,14 +128,19 @@ def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _prefixed(frame: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
+    return frame.select(*[F.col(c) if c in keys else F.col(c).alias(f"{prefix}{c}") for c in frame.columns])
+
+
 def near_duplicates(
     claims: DataFrame, days: int = 7, same_provider: bool = False, rows_per_cell: int = ROWS_PER_CELL
 ) -> DataFrame:
-    """Pairs of claims of one member at most ``days`` apart (``claim_id`` is the key of ``claims``).
+    """Pairs of claims of one member at most ``days`` apart, smaller claim id first.
 
     Dates fall into buckets of ``days + 1``; a claim can only meet a claim that is later (or on
     the same day) in its own bucket or the next one. The equi join on member and bucket keeps
-    comparisons inside the band, and ``grid_join`` splits members with very many claims.
+    comparisons inside the band. A first job looks for member buckets with very many rows; if there
+    are any, copies of a claim fold to one row and ``grid_join`` splits those groups.
     """
     width = days + 1
     slim = claims.select(
@@ -146,19 +158,21 @@ def near_duplicates(
     )
     keys = ["member_id", "_bucket"] + (["provider_id"] if same_provider else [])
     bucket = F.floor(F.col("_day") / width).cast("int")
-
-    def side(frame: DataFrame, prefix: str) -> DataFrame:
-        return frame.select(*[F.col(c) if c in keys else F.col(c).alias(f"{prefix}{c}") for c in frame.columns])
-
-    earlier = side(slim.withColumn("_bucket", F.explode(F.array(bucket, bucket + 1))), "a_")
-    later = side(slim.withColumn("_bucket", bucket), "b_")
+    # A claim is listed under two buckets on one side, so a key has at most twice the rows of a bucket.
+    per_bucket = slim.withColumn("_bucket", bucket).groupBy(*keys).agg((F.count("*") * 2).alias("_n"))
+    split = has_large_group(per_bucket, rows_per_cell)
+    rows = fold_copies(slim) if split else slim
+    earlier = _prefixed(rows.withColumn("_bucket", F.explode(F.array(bucket, bucket + 1))), keys, "a_")
+    later = _prefixed(rows.withColumn("_bucket", bucket), keys, "b_")
     gap = F.col("b__day") - F.col("a__day")
     in_band = ((gap > 0) & (gap <= days) & (F.col("a_claim_id") != F.col("b_claim_id"))) | (
         (gap == 0) & (F.col("a_claim_id") < F.col("b_claim_id"))
     )
-    # ``earlier`` holds a claim under two buckets, so a key has at most twice the largest bucket.
-    bound = later.groupBy(*keys).agg((F.count("*") * 2).alias("_n"))
-    pairs = grid_join(earlier, later, keys, in_band, "a_claim_id", "b_claim_id", bound, rows_per_cell)
+    if split:
+        pairs = grid_join(earlier, later, keys, in_band, rows_per_cell)
+        pairs = unfold_copies(pairs, F.col("a__copies") * F.col("b__copies"))
+    else:
+        pairs = earlier.join(later, keys).filter(in_band)
     a_first = F.col("a_claim_id") < F.col("b_claim_id")
 
     def both(column: str) -> list[Column]:
@@ -179,31 +193,31 @@ SAME_PROVIDER = "Same Provider"
 DIFFERENT_PROVIDER = "Different Provider"
 
 
-def near_duplicate_summary(claims: DataFrame, days: int = 7) -> DataFrame:
+def near_duplicate_summary(claims: DataFrame, days: int = 7, ids_unique: bool = False) -> DataFrame:
     """Near-duplicate pairs by provider match, counted from daily totals without building pairs.
 
-    A pair with a missing provider counts as different. ``pair_count`` is a bigint, the range of
-    COUNT(*); the sums before it are decimals.
+    A pair with a missing provider counts as different. Copies of one claim are no pair; with
+    ``ids_unique`` the caller promises there are none, which saves counting them.
     """
-    everyone = pairs_within_days(claims, ["member_id"], "service_date", days).select(F.col("pair_count").alias("_all"))
-    same = pairs_within_days(claims, ["member_id", "provider_id"], "service_date", days)
-    return (
-        same.select(
-            F.explode(
-                F.array(
-                    F.struct(
-                        F.lit(SAME_PROVIDER).alias("provider_match"), F.col("pair_count").cast("bigint").alias("pair_count")
-                    ),
-                    F.struct(
-                        F.lit(DIFFERENT_PROVIDER).alias("provider_match"),
-                        (everyone.scalar() - F.col("pair_count")).cast("bigint").alias("pair_count"),
-                    ),
-                )
-            ).alias("r")
-        )
-        .select("r.*")
-        .filter("pair_count > 0")
+    valid = claims.filter(F.col("claim_id").isNotNull())
+
+    def pairs(*keys: str) -> Column:
+        count = pairs_within_days(valid, keys, "service_date", days).scalar()
+        if ids_unique:
+            return count
+        return count - pairs_within_days(valid, [*keys, "claim_id"], "service_date", days).scalar()
+
+    counts = claims.sparkSession.range(1).select(
+        pairs("member_id").alias("_all"), pairs("member_id", "provider_id").alias("_same")
     )
+    rows = [(SAME_PROVIDER, F.col("_same")), (DIFFERENT_PROVIDER, F.col("_all") - F.col("_same"))]
+    return counts.select(
+        F.inline(
+            F.array(
+                *[F.struct(F.lit(label).alias("provider_match"), n.cast("bigint").alias("pair_count")) for label, n in rows]
+            )
+        )
+    ).filter("pair_count > 0")
 
 
 def contract_overlaps(contracts: DataFrame, rows_per_cell: int = ROWS_PER_CELL) -> DataFrame:
@@ -211,36 +225,37 @@ def contract_overlaps(contracts: DataFrame, rows_per_cell: int = ROWS_PER_CELL)
 
     Of two overlapping ranges, the later start lies inside the other range. So each contract is
     listed under every calendar year it covers up to the last start in the table, and meets the
-    contracts that start in that year.
+    contracts that start in that year. Providers with very many contracts are split like members
+    in ``near_duplicates``.
     """
     slim = contracts.select("provider_id", "contract_id", "start_date", "end_date").filter(
         F.col("provider_id").isNotNull() & F.col("start_date").isNotNull()
     )
+    keys = ["provider_id", "_year"]
+    per_provider = slim.groupBy("provider_id").agg(F.count("*").alias("_n"))
+    split = has_large_group(per_provider, rows_per_cell)
+    rows = fold_copies(slim) if split else slim
     last_start = slim.agg(F.max("start_date")).scalar()
-    last_day = F.least(F.coalesce("end_date", last_start), last_start)
-
-    def side(frame: DataFrame, prefix: str) -> DataFrame:
-        names = {c: f"{prefix}{c}" for c in ("contract_id", "start_date", "end_date")}
-        return frame.withColumnsRenamed(names)
-
-    covering = side(
-        slim.withColumn("_last", last_day)
+    covering = _prefixed(
+        rows.withColumn("_last", F.least(F.coalesce("end_date", last_start), last_start))
         .filter(F.col("_last") >= F.col("start_date"))
         .withColumn("_year", F.explode(F.sequence(F.year("start_date"), F.year("_last"))))
         .drop("_last"),
+        keys,
         "a_",
     )
-    starting = side(slim.withColumn("_year", F.year("start_date")), "b_")
+    starting = _prefixed(rows.withColumn("_year", F.year("start_date")), keys, "b_")
     far = F.lit(date(9999, 12, 31))
     a_start, b_start = F.col("a_start_date"), F.col("b_start_date")
     a_id, b_id = F.col("a_contract_id"), F.col("b_contract_id")
     overlap = (
         ((a_start < b_start) & (a_id != b_id)) | ((a_start == b_start) & (a_id < b_id))
     ) & (b_start <= F.coalesce("a_end_date", far)) & (a_start <= F.coalesce("b_end_date", far))
-    bound = slim.groupBy("provider_id").agg(F.count("*").alias("_n"))
-    pairs = grid_join(
-        covering, starting, ["provider_id", "_year"], overlap, "a_contract_id", "b_contract_id", bound, rows_per_cell
-    )
+    if split:
+        pairs = grid_join(covering, starting, keys, overlap, rows_per_cell)
+        pairs = unfold_copies(pairs, F.col("a__copies") * F.col("b__copies"))
+    else:
+        pairs = covering.join(starting, keys).filter(overlap)
     a_first = a_id < b_id
 
     def pick(first: str, second: str, name: str) -> Column:

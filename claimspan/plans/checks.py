@@ -65,15 +65,16 @@ add(
               count(*) - count(denial_reason) as reason_empty
        from claims group by claim_status""",
 )
-add(
-    "A19_near_duplicate_summary",
-    lambda t: audits.near_duplicate_summary(t.claims, 7),
-    """select case when a.provider_id = b.provider_id then 'Same Provider' else 'Different Provider' end
-                as provider_match, count(*) as pair_count
-       from claims a join claims b on a.member_id = b.member_id and a.claim_id < b.claim_id
-         and abs(datediff('day', a.service_date, b.service_date)) <= 7
-       group by 1""",
-)
+for _name, _table in (("A19_near_duplicate_summary", "claims"), ("A19_redelivered_summary", "claims_redelivered")):
+    add(
+        _name,
+        lambda t, table=_table: audits.near_duplicate_summary(getattr(t, table), 7, ids_unique=table == "claims"),
+        f"""select case when a.provider_id = b.provider_id then 'Same Provider' else 'Different Provider' end
+                    as provider_match, count(*) as pair_count
+            from {_table} a join {_table} b on a.member_id = b.member_id and a.claim_id < b.claim_id
+             and abs(datediff('day', a.service_date, b.service_date)) <= 7
+            group by 1""",
+    )
 ORPHANS = " union all ".join(
     f"""select 'claims with no matching {label}' as issue, count(*) as orphan_count from claims c
         where not exists (select 1 from {parent} p where p.{parent_key} = c.{key})"""

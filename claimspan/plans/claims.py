@@ -216,16 +216,17 @@ add(
 )
 NEAR = """claims a join claims b on a.member_id = b.member_id and a.claim_id < b.claim_id
             and abs(datediff('day', a.service_date, b.service_date)) <= 7"""
-add(
-    "J8_near_duplicates",
-    lambda t: audits.near_duplicates(t.claims, 7),
-    f"""select a.claim_id as claim_id_1, b.claim_id as claim_id_2, a.member_id,
-               a.service_date as service_date_1, b.service_date as service_date_2,
-               cast(abs(datediff('day', a.service_date, b.service_date)) as int) as days_apart,
-               a.provider_id as provider_id_1, b.provider_id as provider_id_2,
-               a.billed_amount as billed_amount_1, b.billed_amount as billed_amount_2
-        from {NEAR}""",
-)
+for _name, _table in (("J8_near_duplicates", "claims"), ("J8_redelivered_pairs", "claims_redelivered")):
+    add(
+        _name,
+        lambda t, table=_table: audits.near_duplicates(getattr(t, table), 7),
+        f"""select a.claim_id as claim_id_1, b.claim_id as claim_id_2, a.member_id,
+                   a.service_date as service_date_1, b.service_date as service_date_2,
+                   cast(abs(datediff('day', a.service_date, b.service_date)) as int) as days_apart,
+                   a.provider_id as provider_id_1, b.provider_id as provider_id_2,
+                   a.billed_amount as billed_amount_1, b.billed_amount as billed_amount_2
+            from {NEAR.replace('claims', _table)}""",
+    )
 add(
     "J9_near_duplicates_same_provider",
     lambda t: audits.near_duplicates(t.claims, 7, same_provider=True),

@@ -34,7 +34,9 @@ def make_claims(spark, n=600, seed=3):
 
 def brute_pairs(rows, days, same_provider=False):
     found = []
-    for a, b in combinations(sorted(rows), 2):
+    for a, b in combinations(sorted(rows, key=lambda r: r[0]), 2):
+        if a[0] == b[0]:
+            continue
         if a[1] is None or a[1] != b[1] or None in (a[3], b[3]) or abs((a[3] - b[3]).days) > days:
             continue
         if same_provider and (a[2] is None or a[2] != b[2]):
@@ -59,6 +61,29 @@ def test_many_hot_keys_are_joined_without_broadcast(spark, monkeypatch):
     assert Counter((r.claim_id_1, r.claim_id_2, r.days_apart) for r in pairs.collect()) == brute_pairs(rows, 7)
 
 
+@pytest.mark.parametrize("rows_per_cell", [10, 10_000])
+def test_copies_of_one_claim_never_pair_with_each_other(spark, rows_per_cell):
+    """A third of the table is one claim delivered again and again, another id has many versions."""
+    _, rows = make_claims(spark, 150)
+    rows = rows + [(0, 0, 0, DAY0, 0.0)] * 70 + [(3, 0, 1, DAY0 + timedelta(days=i % 9), float(i)) for i in range(20)]
+    claims = spark.createDataFrame(
+        rows, "claim_id bigint, member_id bigint, provider_id bigint, service_date date, billed_amount double"
+    )
+    expected = brute_pairs(rows, 7)
+    pairs = audits.near_duplicates(claims, 7, rows_per_cell=rows_per_cell)
+    assert Counter((r.claim_id_1, r.claim_id_2, r.days_apart) for r in pairs.collect()) == expected
+    same = sum(brute_pairs(rows, 7, True).values())
+    got = {r.provider_match: r.pair_count for r in audits.near_duplicate_summary(claims, 7).collect()}
+    assert got == {"Same Provider": same, "Different Provider": sum(expected.values()) - same}
+
+
+def test_long_runs_of_copies_are_written_in_steps(spark, monkeypatch):
+    monkeypatch.setattr(pairing, "COPIES_PER_STEP", 10)
+    df = spark.createDataFrame([("a", 1), ("b", 10), ("c", 37)], "k string, n bigint")
+    got = pairing.unfold_copies(df, F.col("n")).groupBy("k").count().collect()
+    assert {r["k"]: r["count"] for r in got} == {"a": 1, "b": 10, "c": 37}
+
+
 def test_pairs_keep_their_sides_together(spark):
     claims, rows = make_claims(spark, 120)
     by_id = {r[0]: r for r in rows}

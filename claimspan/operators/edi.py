@@ -278,11 +278,15 @@ def member_segments(members: DataFrame) -> DataFrame:
     """Add ``segments``: the member's segments in file order; an absent field leaves its segment out.
 
     Besides the enrollment fields, ``maintenance_type``, ``street``, ``city``, ``state`` and
-    ``zip`` are used when the frame has them.
+    ``zip`` are used when the frame has them. A value that holds a delimiter stops the export,
+    because it would shift the elements behind it.
     """
 
     def field(name: str, default: str = "") -> Column:
-        return F.coalesce(F.col(name), F.lit(default)) if name in members.columns else F.lit(default)
+        if name not in members.columns:
+            return F.lit(default)
+        stop = F.raise_error(F.concat(F.lit(f"{name} holds an X12 delimiter: "), F.col(name))).cast("string")
+        return F.when(F.col(name).rlike("[*~]"), stop).otherwise(F.coalesce(F.col(name), F.lit(default)))
 
     def segment(*elements: Column | str) -> Column:
         return F.concat_ws(ELEMENT_SEPARATOR, *[e if isinstance(e, Column) else F.lit(e) for e in elements])

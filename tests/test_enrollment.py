@@ -190,3 +190,10 @@ def test_written_outputs(spark, tmp_path):
         paths = edi.write_outputs(decided, str(tmp_path))
     counts = {name: spark.read.option("header", True).csv(p).count() for name, p in paths.items()}
     assert counts == {"enrollment_loaded": 2, "enrollment_rejected": 1, "audit_log": 3}
+
+
+@pytest.mark.parametrize("value", ["A*B", "A~B"])
+def test_export_refuses_delimiters_in_values(spark, tmp_path, value):
+    df = spark.createDataFrame([{**CLEAN, "last_name": value}], ", ".join(f"{f} string" for f in ENROLLMENT_FIELDS))
+    with pytest.raises(Exception, match="last_name holds an X12 delimiter"):
+        edi.write_834(df, str(tmp_path / "out"), ["member_id"])

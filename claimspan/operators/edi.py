@@ -58,7 +58,6 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
 
     Splits are cut at ``~`` like lines are at newlines. ``seq`` rises inside one split only.
     """
-    segment = strip("value")
     return (
         spark.read.option("lineSep", SEGMENT_END)
         .text(path)
@@ -66,41 +65,56 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("seq"),
-            segment.alias("segment"),
+            strip("value").alias("segment"),
         )
         .filter(F.col("segment") != "")
-        .withColumn("elements", F.split("segment", r"\*"))
-        .select("file", "block", "seq", F.get("elements", F.lit(0)).alias("segment_id"), "elements")
+        .select(
+            "file",
+            "block",
+            "seq",
+            F.substring_index("segment", ELEMENT_SEPARATOR, 1).alias("segment_id"),
+            F.split("segment", r"\*").alias("elements"),
+        )
     )
 
 
 def _number_groups(segments: DataFrame, start: str, ends: Sequence[str], name: str) -> DataFrame:
     """Number the groups that ``start`` opens; rows outside any open group are dropped.
 
-    The running count and the last marker are taken per split, and the same two facts about all
-    earlier splits of the file come from one row per split.
+    A row is inside a group if the last marker so far is a start. Per split that is a running
+    maximum of positions; the count of starts and the state at the end of all earlier splits come
+    from one row per split.
     """
     is_start = F.col("segment_id") == start
-    marker = F.when(F.col("segment_id").isin(start, *ends), F.col("segment_id"))
-    per_block = segments.groupBy("file", "block").agg(
-        F.count_if(is_start).alias("_starts"),
-        F.max(F.when(marker.isNotNull(), F.struct("seq", marker.alias("marker")))).alias("_last"),
+    start_seq = F.when(is_start, F.col("seq"))
+    marker_seq = F.when(F.col("segment_id").isin(start, *ends), F.col("seq"))
+    per_block = segments.groupBy("block", "file").agg(
+        F.count_if(is_start).alias("_starts"), F.max(start_seq).alias("_start"), F.max(marker_seq).alias("_marker")
     )
+    open_at_end = F.when(F.col("_marker").isNotNull(), F.col("_start").eqNullSafe(F.col("_marker")))
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     carried = per_block.select(
-        "file",
         "block",
+        "file",
         F.coalesce(F.sum("_starts").over(earlier), F.lit(0)).alias("_starts_before"),
-        F.last("_last.marker", ignorenulls=True).over(earlier).alias("_marker_before"),
+        F.coalesce(F.last(open_at_end, ignorenulls=True).over(earlier), F.lit(False)).alias("_open_before"),
+    )
+    so_far = Window.partitionBy("block", "file").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    open_here = F.when(F.col("_marker").isNull(), F.col("_open_before")).otherwise(
+        F.col("_start").eqNullSafe(F.col("_marker"))
     )
-    so_far = Window.partitionBy("file", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        segments.withColumn("_starts_here", F.count_if(is_start).over(so_far))
-        .withColumn("_marker_here", F.last(marker, ignorenulls=True).over(so_far))
-        .join(carried, ["file", "block"])
-        .filter(F.coalesce("_marker_here", "_marker_before") == start)
+        segments.withColumns(
+            {
+                "_starts_here": F.count_if(is_start).over(so_far),
+                "_start": F.max(start_seq).over(so_far),
+                "_marker": F.max(marker_seq).over(so_far),
+            }
+        )
+        .join(carried, ["block", "file"])
+        .filter(open_here)
         .withColumn(name, F.col("_starts_before") + F.col("_starts_here"))
-        .drop("_starts_here", "_marker_here", "_starts_before", "_marker_before")
+        .select(*segments.columns, name)
     )
 
 
@@ -121,37 +135,77 @@ def program_name(code: Column) -> Column:
     return F.coalesce(F.try_element_at(names, code), code)
 
 
-def parse_members(loops: DataFrame) -> DataFrame:
-    """One enrollment record per member loop: eight text fields, "" when absent.
+def _element(i: int) -> Column:
+    return F.coalesce(F.get("elements", F.lit(i)), F.lit(""))
 
-    The last segment of a kind wins, even a blank one. Its position travels with the value, so a
-    loop that crosses a split is folded like any other.
-    """
 
-    def element(i: int) -> Column:
-        return F.coalesce(F.get("elements", F.lit(i)), F.lit(""))
+# The segment, qualifier and element each enrollment field comes from.
+FIELD_SOURCES = {
+    "member_id": ("REF", "0F", 2),
+    "line_of_business": ("REF", "17", 2),
+    "plan_code": ("REF", "1L", 2),
+    "coverage_effective_date": ("DTP", "348", 3),
+    "term_date": ("DTP", "349", 3),
+    "last_name": ("NM1", None, 3),
+    "phone": ("PER", None, 4),
+}
+FIRST_NAME_ELEMENT = 4
 
-    def last(value: Column, segment: str, qualifier: str | None = None) -> Column:
+
+def _field_values(segments: DataFrame) -> DataFrame:
+    """Replace ``elements`` by the field a segment sets and its value (names come in one segment)."""
+    field, value = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for name, (segment, qualifier, i) in FIELD_SOURCES.items():
         here = F.col("segment_id") == segment
         if qualifier:
-            here = here & (element(1) == qualifier)
-        newest = F.max(F.when(here, F.struct("block", "seq", value.alias("value"))))
-        return F.coalesce(newest["value"], F.lit(""))
-
-    return loops.groupBy("file", "loop_no").agg(
-        last(element(2), "REF", "0F").alias("member_id"),
-        last(element(4), "NM1").alias("first_name"),
-        last(element(3), "NM1").alias("last_name"),
-        last(program_name(element(2)), "REF", "17").alias("line_of_business"),
-        last(element(2), "REF", "1L").alias("plan_code"),
-        last(element(4), "PER").alias("phone"),
-        last(_dashed(element(3)), "DTP", "348").alias("coverage_effective_date"),
-        last(_dashed(element(3)), "DTP", "349").alias("term_date"),
+            here = here & (_element(1) == qualifier)
+        field = F.when(here, name).otherwise(field)
+        value = F.when(here, _element(i)).otherwise(value)
+    first_name = F.when(F.col("segment_id") == "NM1", _element(FIRST_NAME_ELEMENT))
+    others = [c for c in segments.columns if c != "elements"]
+    return segments.select(
+        *others, field.alias("field"), value.alias("value"), first_name.alias("first_name")
     )
 
 
+def _fold_fields(values: DataFrame) -> DataFrame:
+    """One record per loop. The last value of a field wins, even a blank one: its position travels
+    with the value, so a loop that crosses a split is folded like any other."""
+
+    def last(name: str) -> Column:
+        kept = F.struct("block", "seq", "value", *(["first_name"] if name == "last_name" else []))
+        return F.max(F.when(F.col("field") == name, kept)).alias(name)
+
+    folded = values.groupBy("loop_no", "file").agg(*[last(name) for name in FIELD_SOURCES])
+
+    def value(name: str) -> Column:
+        return F.coalesce(F.col(f"{name}.value"), F.lit(""))
+
+    return folded.select(
+        "file",
+        "loop_no",
+        value("member_id").alias("member_id"),
+        F.coalesce(F.col("last_name.first_name"), F.lit("")).alias("first_name"),
+        value("last_name").alias("last_name"),
+        program_name(value("line_of_business")).alias("line_of_business"),
+        value("plan_code").alias("plan_code"),
+        value("phone").alias("phone"),
+        _dashed(value("coverage_effective_date")).alias("coverage_effective_date"),
+        _dashed(value("term_date")).alias("term_date"),
+    )
+
+
+def parse_members(loops: DataFrame) -> DataFrame:
+    """One enrollment record per member loop: eight text fields, "" when absent."""
+    return _fold_fields(_field_values(loops))
+
+
 def parse_834(spark: SparkSession, path: str) -> DataFrame:
-    return parse_members(member_loops(read_segments(spark, path)))
+    """Files to enrollment records. Only loop markers and field values travel through the shuffle."""
+    segments = read_segments(spark, path)
+    sources = {segment for segment, _, _ in FIELD_SOURCES.values()}
+    needed = segments.filter(F.col("segment_id").isin(LOOP_START, *LOOP_ENDS, *sorted(sources)))
+    return _fold_fields(member_loops(_field_values(needed)))
 
 
 def check_envelope(segments: DataFrame) -> DataFrame:

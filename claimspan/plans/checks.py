@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from claimspan.operators import audits, etl, quality
 from claimspan.plans.bindings import AS_OF, CLAIM_COLUMNS, mean_sql, percent_sql
 from claimspan.plans.registry import add
+from claimspan.session import scratch_dir
 from claimspan.sources import readers
 from claimspan.streaming import incremental
 
@@ -223,6 +224,27 @@ add(
                    when denial_reason is null then 'denial_reason' else 'None' end as missing_fields
        from claims""",
 )
+
+
+def _json_file(t):
+    """The same records through a file: read raw lines, number them, test their keys."""
+    path = scratch_dir(t.spark, "json-lines")
+    t.claims.select(F.to_json(F.struct(*JSON_FIELDS)).alias("value")).write.text(path)
+    checked = quality.json_required(readers.read_json_lines(t.spark, path), "json", JSON_FIELDS)
+    return checked.groupBy("missing_fields").agg(
+        F.count("*").alias("records"), F.countDistinct("file", "record_index").alias("numbered")
+    )
+
+
+add(
+    "Q5_json_file",
+    _json_file,
+    """select missing_fields, count(*) as records, count(*) as numbered from (
+         select case when payer_id is null and denial_reason is null then 'payer_id,denial_reason'
+                     when payer_id is null then 'payer_id'
+                     when denial_reason is null then 'denial_reason' else 'None' end as missing_fields from claims)
+       group by 1""",
+)
 add(
     "Q5_event_keys",
     lambda t: quality.json_required(t.raw("events").select("event_id", "props"), "props", ["k", "source"]).select(

@@ -54,7 +54,7 @@ def percent(part: Column | str, whole: Column | str) -> Column:
 
 def amount_percent(part: Column | str, whole: Column | str) -> Column:
     """Like ``percent`` for money sums."""
-    part, whole = as_column(part), as_column(whole)
+    part, whole = money(part), money(whole)
     return (part * 100 / F.nullif(whole, F.lit(0))).cast("decimal(5,2)")
 
 
@@ -74,8 +74,8 @@ def money_mean(total: Column | str, n: Column | str) -> Column:
 
 
 def money(col: Column | str) -> Column:
-    """Money sums leave every operator as decimal(18,2)."""
-    return as_column(col).cast("decimal(18,2)")
+    """Money sums leave every operator as decimal(20,2): 10^12 claims of 10^5 each still fit."""
+    return as_column(col).cast("decimal(20,2)")
 
 
 def _wide(col: Column | str) -> Column:

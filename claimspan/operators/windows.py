@@ -94,5 +94,7 @@ def provider_rank(claims: DataFrame, providers: DataFrame, predicate: Column | N
         .groupBy("provider_name")
         .agg(money(F.sum("billed")).alias("total_billed"))
     )
-    cents = (F.coalesce(F.col("total_billed"), F.lit(0)) * 100).cast("bigint")
+    most = F.lit(9 * 10**16)  # whole cents up to here fit 64 bits; larger totals share one code
+    inside = F.greatest(F.least(F.coalesce(F.col("total_billed"), F.lit(0)), most), -most)
+    cents = (inside * 100).cast("bigint")
     return rank_descending(totals, [], "total_billed", code=cents, code_bits=64, dense_rank="provider_rank")

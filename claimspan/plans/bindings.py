@@ -316,4 +316,4 @@ def mean_sql(col: str) -> str:
 
 
 def money_sql(expr: str) -> str:
-    return f"cast({expr} as decimal(18,2))"
+    return f"cast({expr} as decimal(20,2))"

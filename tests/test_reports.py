@@ -271,3 +271,17 @@ def test_bucketed_table_needs_no_shuffle(spark, claims):
     assert "hashpartitioning" not in plan
     assert analytics.denial_rate_by_provider(stored).count() == 4
     spark.sql("drop table bucketed_claims")
+
+
+def test_sums_of_a_very_large_table_fit(spark):
+    """Folded sums near 10^17, as 10^12 claims would give."""
+    huge = [(i, Decimal("99999999.99"), "Approved") for i in range(3)]
+    claims = spark.createDataFrame(huge, "provider_id bigint, billed_amount decimal(10,2), claim_status string")
+    total = F.sum(F.col("billed_amount").cast("decimal(20,2)") * F.lit(300_000_000).cast("decimal(10,0)"))
+    row = claims.agg(m.money(total).alias("t"), m.money_mean(total, F.lit(900_000_000)).alias("a")).first()
+    assert (row.t, row.a) == (Decimal("89999999991000000.00"), Decimal("99999999.99"))
+    providers = spark.createDataFrame([(i, f"P{i}") for i in range(3)], "provider_id bigint, provider_name string")
+    wide = claims.withColumn("billed_amount", (F.lit(10**17) + F.col("provider_id")).cast("decimal(20,2)"))
+    ranks = {r.provider_name: r.provider_rank for r in windows.provider_rank(wide, providers).collect()}
+    assert ranks == {"P2": 1, "P1": 2, "P0": 3}
+    assert claims.agg(m.amount_percent(total, total * 2)).first()[0] == Decimal("50.00")

@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from claimspan.functions.measures import normalize_status
+from claimspan.functions.pairing import unfold_copies
 from claimspan.functions.ranking import dense_numbers
 from claimspan.session import scratch_dir
 from claimspan.sources.readers import path_exists, read_inbound_claims
-from claimspan.sources.schemas import INBOUND_COLUMNS
+from claimspan.sources.schemas import INBOUND_COLUMNS, RUN_LOG
 
 # ---------------------------------------------------------------- tables
 
@@ -93,6 +95,8 @@ TEXT_LIMITS = {"claim_status": 15, "diagnosis_code": 10, "procedure_code": 10}
 DATE_COLUMNS = ("service_date", "admit_date", "discharge_date")
 NO_MEMBER = "member not found"
 NO_PROVIDER = "provider not found"
+ALREADY_LOADED = "claim already loaded"
+REPEATED = "claim repeated in file"
 
 
 def convert_claims(raw: DataFrame, on_error: str = "reject") -> DataFrame:
@@ -174,11 +178,10 @@ class LoadResult:
     source_rows: int
     rows_inserted: int
     rows_rejected: int
-    rows_already_loaded: int
 
     @property
     def balanced(self) -> bool:
-        return self.source_rows == self.rows_inserted + self.rows_rejected + self.rows_already_loaded
+        return self.source_rows == self.rows_inserted + self.rows_rejected
 
 
 def typed_claims(classified: DataFrame) -> DataFrame:
@@ -188,6 +191,13 @@ def typed_claims(classified: DataFrame) -> DataFrame:
     )
 
 
+def repeated_rows(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """``rows`` without one copy of each row of ``kept``: a multiset difference by counting."""
+    signed = rows.withColumn("_n", F.lit(1)).unionByName(kept.withColumn("_n", F.lit(-1)))
+    left = signed.groupBy(*rows.columns).agg(F.sum("_n").alias("_n")).filter("_n > 0")
+    return unfold_copies(left, F.col("_n")).drop("_n")
+
+
 def load_new_claims(
     spark: SparkSession,
     path: str,
@@ -202,48 +212,51 @@ def load_new_claims(
 ) -> LoadResult:
     """Check the file, convert, route, append, write rejects, archive and log one run.
 
-    The classified rows are written once to the shared scratch folder; accepted rows, rejects and
-    counts all come from that copy, so they add up whatever happens to executors. Claim ids the
-    target already holds are not appended again, which makes a repeated run harmless.
+    Every source row is inserted or rejected with a reason; claim ids the target already holds and
+    further rows of one id in the file are rejected too, so a repeated run inserts nothing twice.
+    Classified, new and surviving rows are written to the shared scratch folder, and everything
+    after reads those copies: counts and outputs agree whatever happens to executors.
     """
 
     def log(result: LoadResult) -> LoadResult:
         row = [(package_name, run_timestamp, result.rows_inserted, result.rows_rejected, result.status)]
-        columns = "package_name string, run_timestamp timestamp, rows_inserted bigint, rows_rejected bigint, status string"
-        spark.createDataFrame(row, columns).coalesce(1).write.mode("append").parquet(run_log)
+        spark.createDataFrame(row, RUN_LOG).coalesce(1).write.mode("append").parquet(run_log)
         return result
 
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        staged_path = scratch_dir(spark, name)
+        df.write.parquet(staged_path)
+        return spark.read.parquet(staged_path)
+
     if not path_exists(spark, path):
-        return log(LoadResult(NO_FILE, 0, 0, 0, 0))
+        return log(LoadResult(NO_FILE, 0, 0, 0))
     try:
-        staged_path = scratch_dir(spark, "claims-load")
         converted = convert_claims(read_inbound_claims(spark, path))
-        classify_claims(converted, members, providers, "conversion_errors", "conv_").write.parquet(staged_path)
-        staged = spark.read.parquet(staged_path)
-        rejected = staged.filter(F.col("reject_reason").isNotNull())
-        accepted = typed_claims(staged.filter(F.col("reject_reason").isNull()))
-        fresh = latest_rows(accepted, ["claim_id"], ["service_date"])
+        classified = stage(
+            classify_claims(converted, members, providers, "conversion_errors", "conv_"), "claims-classified"
+        )
+        accepted = classified.filter(F.col("reject_reason").isNull())
+        refused = [classified.filter(F.col("reject_reason").isNotNull())]
         if path_exists(spark, target):
-            fresh = fresh.join(spark.read.parquet(target).select("claim_id"), "claim_id", "left_anti")
-        fresh_path = scratch_dir(spark, "claims-fresh")
-        fresh.withColumn("load_timestamp", F.lit(run_timestamp)).write.parquet(fresh_path)
-        fresh = spark.read.parquet(fresh_path)
-        fresh.write.mode("append").parquet(target)
-        write_rejects(rejected, reject_path)
-        counts = staged.agg(
-            F.count("*").alias("source"), F.count("reject_reason").alias("rejected")
-        ).first()
+            known = spark.read.parquet(target).select(F.col("claim_id").alias("conv_claim_id")).distinct()
+            refused.append(
+                accepted.join(known, "conv_claim_id", "left_semi").withColumn("reject_reason", F.lit(ALREADY_LOADED))
+            )
+            accepted = stage(accepted.join(known, "conv_claim_id", "left_anti"), "claims-new")
+        fresh = stage(latest_rows(accepted, ["conv_claim_id"], ["conv_service_date"]), "claims-fresh")
         inserted = fresh.count()
+        if inserted < accepted.count():
+            refused.append(repeated_rows(accepted, fresh).withColumn("reject_reason", F.lit(REPEATED)))
+        rejects = stage(reduce(DataFrame.unionByName, refused), "claims-rejects")
+        write_rejects(rejects, reject_path)
+        typed_claims(fresh).withColumn("load_timestamp", F.lit(run_timestamp)).write.mode("append").parquet(target)
+        result = LoadResult(SUCCESS, classified.count(), inserted, rejects.count())
         if archive_dir:
             archive_file(spark, path, archive_dir, run_timestamp)
     except Exception:
-        log(LoadResult(FAILED, 0, 0, 0, 0))
+        log(LoadResult(FAILED, 0, 0, 0))
         raise
-    return log(
-        LoadResult(
-            SUCCESS, counts["source"], inserted, counts["rejected"], counts["source"] - counts["rejected"] - inserted
-        )
-    )
+    return log(result)
 
 
 def archive_file(spark: SparkSession, path: str, archive_dir: str, run_timestamp: datetime) -> str:

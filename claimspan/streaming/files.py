@@ -73,7 +73,11 @@ def stream_summary(stream: DataFrame, by: str = "claim_status", amount: str = "b
 
 
 def run_summary(summary: DataFrame, name: str, checkpoint: str) -> DataFrame:
-    """Run a complete-mode aggregate over all files present now and return its result table."""
+    """Run a complete-mode aggregate over all files present now and return its result table.
+
+    The memory sink keeps the result on the driver, so this is for groups known to be few, such as
+    claim statuses. Write larger results with an append-mode file sink.
+    """
     query = (
         summary.writeStream.format("memory")
         .queryName(name)

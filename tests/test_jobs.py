@@ -87,18 +87,26 @@ def test_load_routes_archives_and_logs(spark, tmp_path, keys):
         line(claim_id="4", billed="n/a"),
         line(claim_id="5", status="Denied", reason="Coding Error"),
         line(claim_id="5", status="Denied", reason="Coding Error"),  # repeated inside the file
+        line(claim_id="5", status="Denied", reason="Coding Error"),
+        line(claim_id="5", day="2025-12-31", status="Pending"),  # an older version
     )
     first = load(spark, tmp_path, keys, path)
-    assert (first.source_rows, first.rows_inserted, first.rows_rejected, first.rows_already_loaded) == (6, 2, 3, 1)
+    assert (first.source_rows, first.rows_inserted, first.rows_rejected) == (8, 2, 6)
     assert first.balanced and first.status == "Success"
     assert not os.path.exists(path) and len(os.listdir(tmp_path / "archive")) == 1
     rejects = spark.read.option("header", True).csv(str(tmp_path / "rejects"))
-    assert {r.claim_id: r.reject_reason for r in rejects.collect()} == {
-        "2": "member not found", "3": "provider not found", "4": "billed_amount: not a numeric(10,2)",
-    }
+    assert sorted((r.claim_id, r.claim_status, r.reject_reason) for r in rejects.collect()) == [
+        ("2", "PAID", "member not found"),
+        ("3", "PAID", "provider not found"),
+        ("4", "PAID", "billed_amount: not a numeric(10,2)"),
+        ("5", "Denied", "claim repeated in file"),
+        ("5", "Denied", "claim repeated in file"),
+        ("5", "Pending", "claim repeated in file"),
+    ]
     again = inbound(path, line(), line(claim_id="6", member="2"))
     second = load(spark, tmp_path, keys, again, run_at=datetime(2026, 7, 1, 9, 0))
-    assert (second.rows_inserted, second.rows_already_loaded) == (1, 1)
+    assert (second.rows_inserted, second.rows_rejected) == (1, 1) and second.balanced
+    assert spark.read.option("header", True).csv(str(tmp_path / "rejects")).first().reject_reason == "claim already loaded"
     assert len(os.listdir(tmp_path / "archive")) == 2
     missing = load(spark, tmp_path, keys, path)
     assert missing.status == "No file"

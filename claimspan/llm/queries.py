@@ -4,18 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from claimspan.llm import quality_rules
+from claimspan.llm import bpe, packing, quality_rules
 from claimspan.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+#: Rows in one batch that goes to Python; some documents are very long.
+BATCH_ROWS = "1000"
+
+
 def query(name: str):
     def add(build: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = build
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+            return build(spark, sf_dir)
+
+        QUERIES[name] = run
         return build
 
     return add
@@ -24,3 +33,14 @@ def query(name: str):
 @query("op4_quality_rules")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op5_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op8_bpe")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)

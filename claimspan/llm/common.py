@@ -3,6 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+import atexit
+import os
+from pathlib import Path
+import shutil
+import tempfile
 import uuid
 
 import numpy as np
@@ -21,6 +26,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, unless PYTHONPATH already names its folder."""
+    root, app = Path(__file__).resolve().parents[2], spark.sparkContext.applicationId
+    if app in _shipped or str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    _shipped.add(app)
+    own = tempfile.mkdtemp()  # only the driver reads it: Spark's file server sends it on
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    name = Path(__file__).resolve().parents[1].name
+    spark.sparkContext.addPyFile(shutil.make_archive(f"{own}/{name}", "zip", root, name))
+
+
 def folder(spark: SparkSession, name: str) -> str:
     """A new folder below the shared folder ``spark.checkpoint.dir``, or below the warehouse where that is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")

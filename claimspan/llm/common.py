@@ -71,6 +71,13 @@ def text_batches(batches: Iterator[pa.RecordBatch], name: str = "text") -> Itera
         yield batch, [b"" if x is None else x for x in batch.column(name).cast(pa.binary()).to_pylist()]
 
 
+def by_size(texts: list[bytes], limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive texts with about ``limit`` bytes each; a longer text is a range of its own."""
+    groups = np.cumsum([0, *map(len, texts)])[:-1] // limit
+    bounds = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(texts)]
+    return ((a, b) for a, b in zip(bounds, bounds[1:]) if a < b)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values under which close values end far apart (multiply, shift and xor)."""
     h = h ^ (h >> np.uint64(32))

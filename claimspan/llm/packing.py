@@ -29,7 +29,7 @@ LENGTH = 2048
 END_TOKEN = 1
 #: Cost of a cut, in padding tokens: at the end of a document or sentence, and inside a sentence.
 SENTENCE_PENALTY, INSIDE_PENALTY = 2, 24
-#: Cuts inside sentences are tried at multiples of this, where no sentence ends soon after.
+#: Cuts inside sentences are tried at multiples of this.
 GRID = 64
 #: Tokens after which a block of whole documents is packed.
 BLOCK = 1 << 20
@@ -127,12 +127,9 @@ def cuts(total: int, document_ends: np.ndarray, sentence_ends: np.ndarray, lengt
     if not total:
         return np.empty(0, np.int64)
     kind = np.full(total + 1, -1, np.int16)
-    if len(sentence_ends):  # the first one of each quarter of a grid cell is enough
-        kind[sentence_ends[np.append(True, np.diff(sentence_ends // (GRID // 4)) > 0)]] = SENTENCE_PENALTY
+    kind[GRID:total:GRID] = INSIDE_PENALTY
+    kind[sentence_ends] = SENTENCE_PENALTY
     kind[document_ends] = 0
-    bare = np.ones(total // GRID + 1, bool)
-    bare[np.flatnonzero(kind >= 0) // GRID] = False
-    kind[np.flatnonzero(bare[1:]) * GRID + GRID] = INSIDE_PENALTY
     kind[0] = kind[total] = 0
     places = np.flatnonzero(kind >= 0)
     penalty, place = kind[places].tolist(), places.tolist()

@@ -14,7 +14,7 @@ from collections.abc import Callable
 import numpy as np
 import regex
 
-from claimspan.llm.common import _IS_SPACE, Rolling
+from claimspan.llm.common import _IS_SPACE, Rolling, by_size
 
 #: Distinct chunks that a worker remembers; beyond that it starts anew between batches.
 CACHE = 700_000
@@ -75,9 +75,7 @@ class ChunkTable:
 
     def batch(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of each text; about BATCH bytes are worked on at a time."""
-        groups = np.cumsum([0, *map(len, texts)])[:-1] // BATCH
-        bounds = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(texts)]
-        return [ids for a, b in zip(bounds, bounds[1:]) if a < b for ids in self._batch(texts[a:b])]
+        return [ids for a, b in by_size(texts, BATCH) for ids in self._batch(texts[a:b])]
 
     def _batch(self, texts: list[bytes]) -> list[np.ndarray]:
         if self.n > CACHE:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from claimspan.llm import bpe, embedding_dedup, packing, quality_rules, substring_dedup, toxicity
+from claimspan.llm import bpe, embedding_dedup, lm_scoring, packing, quality_rules, substring_dedup, toxicity
 from claimspan.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_embedding_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.deduplicate(table(spark, sf_dir, "embeddings"))
+
+
+@query("op1_lm_scoring")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.pseudo_likelihood(table(spark, sf_dir, "documents"))

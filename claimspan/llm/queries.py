@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from claimspan.llm import bpe, embedding_dedup, lm_scoring, packing, quality_rules, substring_dedup, toxicity
+from claimspan.llm import bpe, embedding_dedup, lm_scoring, ngram_join, packing, quality_rules, substring_dedup, toxicity
 from claimspan.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_lm_scoring")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
+@query("op10_ngram_jaccard_join")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))

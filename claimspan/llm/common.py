@@ -161,14 +161,11 @@ def _bits(ids: np.ndarray) -> np.ndarray:
     return (mix(ids.astype(np.uint64)) % np.uint64(FILTER_BITS)).astype(np.int64)
 
 
-def only_documents(docs: DataFrame, ids: DataFrame, *columns: str) -> DataFrame:
-    """``doc_id`` and ``columns`` of the documents whose id occurs in ``ids``.
+def id_filter(ids: DataFrame):
+    """A broadcast bit set of the ids in the first column: FILTER_BITS, about 1 MiB, whatever the input.
 
-    A fixed-size bit set of the ids (FILTER_BITS, about 1 MiB whatever the input) drops most other
-    documents before their texts are shuffled; the semi join makes it exact. A full bit set only
-    costs shuffle.
+    ``maybe_in(bits)`` and ``surely_not_in(bits)`` part a table by it. A full bit set only parts less.
     """
-    spark = docs.sparkSession
 
     def bits(batches):
         seen = np.zeros(FILTER_BITS, bool)
@@ -186,16 +183,29 @@ def only_documents(docs: DataFrame, ids: DataFrame, *columns: str) -> DataFrame:
                 parts[k] = parts[k] | v if k in parts else v
         yield pa.RecordBatch.from_pydict({"part": pa.array(list(parts), pa.int32()), "bits": pa.array([v.tobytes() for v in parts.values()], pa.binary())})
 
-    ids = ids.select(F.col(ids.columns[0]).cast("long").alias("doc_id"))
     schema = "part int, bits binary"
     seen = np.zeros((64, FILTER_BITS // 512), np.uint8)
+    ids = ids.select(F.col(ids.columns[0]).cast("long").alias("id")).where("id is not null")
     for row in ids.mapInArrow(bits, schema).repartition(16, "part").mapInArrow(merged, schema).collect():
         seen[row.part] = np.frombuffer(row.bits, np.uint8)
-    shared = spark.sparkContext.broadcast(np.unpackbits(seen.reshape(-1)).astype(bool))
+    return ids.sparkSession.sparkContext.broadcast(np.unpackbits(seen.reshape(-1)).astype(bool))
 
-    def maybe(batches):
+
+def filtered(docs: DataFrame, column: str, bits, inside: bool = True) -> DataFrame:
+    """The rows whose id may be in the bit set, or those whose id surely is not; no id is null."""
+
+    def run(batches):
         for b in batches:
-            yield b.filter(pa.array(shared.value[_bits(b.column("doc_id").to_numpy(zero_copy_only=False))]))
+            yield b.filter(pa.array(bits.value[_bits(b.column(column).to_numpy(zero_copy_only=False))] == inside))
+
+    return docs.mapInArrow(run, docs.schema)
 
+
+def only_documents(docs: DataFrame, ids: DataFrame, *columns: str) -> DataFrame:
+    """``doc_id`` and ``columns`` of the documents whose id occurs in ``ids``.
+
+    The bit set drops most other documents before their texts are shuffled; the semi join makes it exact.
+    """
+    ids = ids.select(F.col(ids.columns[0]).cast("long").alias("doc_id"))
     kept = docs.where("doc_id is not null").select("doc_id", *columns)
-    return kept.mapInArrow(maybe, kept.schema).join(ids, "doc_id", "left_semi")
+    return filtered(kept, "doc_id", id_filter(ids)).join(ids, "doc_id", "left_semi")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from claimspan.llm import bpe, embedding_dedup, lm_scoring, ngram_join, packing, quality_rules, substring_dedup, toxicity
+from claimspan.llm import bpe, embedding_dedup, lm_scoring, ngram_join, packing, quality_rules, substring_dedup, suffix_dedup, toxicity
 from claimspan.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_ngram_jaccard_join")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
+@query("op3_suffix_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))

@@ -96,7 +96,7 @@ def occurrences(rows: DataFrame, length: int) -> DataFrame:
 class Columns:
     """Transform, common prefixes and names of the suffixes so far, in order, in files that each round writes anew."""
 
-    FILES = {"symbol": np.uint8, "common": np.int16, "name": np.int64}
+    FILES = {"symbol": np.uint8, "common": np.int16, "name": np.int32}
 
     def __init__(self, folder: str):
         self.folder = Path(folder)
@@ -169,7 +169,7 @@ def repeated_windows(texts: list[bytes], lead: list[int], length: int, folder: s
         grown[count + new] = True
         merged = {}
         by_place = alive[np.argsort(rank[at])]
-        for what, old, inserted in (("symbol", symbol, 0), ("common", common, 0), ("name", name, (by_place << 16) + r), ("extended", extended, False)):
+        for what, old, inserted in (("symbol", symbol, 0), ("common", common, 0), ("name", name, ((by_place << 16) + r).astype(np.int32)), ("extended", extended, False)):
             merged[what] = np.empty(len(grown), old.dtype)
             merged[what][~grown] = old
             merged[what][grown] = inserted
@@ -181,7 +181,7 @@ def repeated_windows(texts: list[bytes], lead: list[int], length: int, folder: s
     common, name = files.read("common"), files.read("name")
     joined = common >= length
     repeated = joined | np.append(joined[1:], False)
-    which, depth = name[repeated] >> 16, name[repeated] & 0xFFFF
+    which, depth = name[repeated] >> 16, (name[repeated] & 0xFFFF).astype(np.int64)
     order = np.argsort(which, kind="stable")
     ends = np.searchsorted(which[order], np.arange(count), "right")
     return [np.sort(x) for x in np.split(depth[order], ends[:-1])]

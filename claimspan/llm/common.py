@@ -41,6 +41,16 @@ def ship(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(shutil.make_archive(f"{own}/{name}", "zip", root, name))
 
 
+#: Rows in one batch that goes to Python; some documents are very long.
+BATCH_ROWS = "1000"
+
+
+def prepare(spark: SparkSession) -> None:
+    """What the Python workers need before an operator of this subpackage runs."""
+    ship(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def folder(spark: SparkSession, name: str) -> str:
     """A new folder below the shared folder ``spark.checkpoint.dir``, or below the warehouse where that is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")

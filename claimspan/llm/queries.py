@@ -7,22 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from claimspan.llm import bpe, embedding_dedup, lm_scoring, ngram_join, packing, quality_rules, substring_dedup, suffix_dedup, toxicity
-from claimspan.llm.common import ship, table
+from claimspan.llm import bpe, embedding_dedup, line_dedup, lm_scoring, ngram_join, packing, quality_rules, substring_dedup, suffix_dedup, toxicity
+from claimspan.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-#: Rows in one batch that goes to Python; some documents are very long.
-BATCH_ROWS = "1000"
-
-
 def query(name: str):
     def add(build: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship(spark)
-            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+            prepare(spark)
             return build(spark, sf_dir)
 
         QUERIES[name] = run
@@ -75,3 +70,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_suffix_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
+@query("op7_line_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.find(table(spark, sf_dir, "documents"))

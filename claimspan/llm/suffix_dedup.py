@@ -310,15 +310,16 @@ def union_of(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _rows(docs: DataFrame, *columns: str) -> DataFrame:
     """The rows with a number in place of the id; equal rows have equal numbers, as they have equal repeats."""
-    return docs.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", "text", *columns)
+    return docs.select(F.xxhash64("doc_id", "text").alias("_row"), "doc_id", "text", *columns)
 
 
 def with_spans(docs: DataFrame, length: int = LENGTH, columns: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """The rows that surely hold no repeat, and the others with their spans (null: none)."""
     rows = _rows(docs, *columns)
-    spans = written(repeated_spans(rows.select(F.col("row").alias("doc_id"), "text"), length), "spans")
+    spans = written(repeated_spans(rows.select(F.col("_row").alias("doc_id"), "text"), length), "spans")
+    spans = spans.select(F.col("row").alias("_row"), F.col("spans").alias("_spans"))
     bits = id_filter(spans)
-    return filtered(rows, "row", bits, inside=False), filtered(rows, "row", bits).join(spans, "row", "left")
+    return filtered(rows, "_row", bits, inside=False), filtered(rows, "_row", bits).join(spans, "_row", "left")
 
 
 def digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -326,7 +327,7 @@ def digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def run(batches):
         for batch, raw in text_batches(batches):
-            all_spans = batch.column("spans").to_pylist() if "spans" in batch.schema.names else [None] * len(raw)
+            all_spans = batch.column("_spans").to_pylist() if "_spans" in batch.schema.names else [None] * len(raw)
             out = {"n_removed": [], "n_spans": [], "kept_sha256": []}
             for text, found in zip(raw, all_spans):
                 spans, at, digest = union_of([(s["begin"], s["end"]) for s in found or []]), 0, hashlib.sha256()
@@ -349,7 +350,7 @@ def digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     clean, touched = with_spans(docs, length)
-    return clean.select("doc_id", "text").mapInArrow(run, schema).union(touched.select("doc_id", "text", "spans").mapInArrow(run, schema))
+    return clean.select("doc_id", "text").mapInArrow(run, schema).union(touched.select("doc_id", "text", "_spans").mapInArrow(run, schema))
 
 
 def remaining_text(text: bytes, spans: list[tuple[int, int]]) -> str:
@@ -372,12 +373,12 @@ def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def run(batches):
         for batch, raw in text_batches(batches):
-            spans = [[(s["begin"], s["end"]) for s in x or []] for x in batch.column("spans").to_pylist()]
+            spans = [[(s["begin"], s["end"]) for s in x or []] for x in batch.column("_spans").to_pylist()]
             old = batch.column("text").to_pylist()
             texts = [x if not s else remaining_text(r, s) for x, r, s in zip(old, raw, spans)]
-            columns = {c: pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in batch.schema.names if c not in ("row", "spans")}
+            columns = {c: pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in batch.schema.names if c not in ("_row", "_spans")}
             yield pa.RecordBatch.from_pydict(columns)
 
     clean, touched = with_spans(docs, length, others)
-    clean = clean.drop("row")
+    clean = clean.drop("_row")
     return clean.union(touched.mapInArrow(run, clean.schema)).select(*docs.columns)

@@ -10,19 +10,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 #: Rows of one side that one join cell holds at most on average.
 ROWS_PER_CELL = 4_000
 
-#: Hot keys up to this number are broadcast; more of them are joined by shuffle.
-MAX_BROADCAST_HOT_KEYS = 50_000
-
 #: Copies of a pair are written out in steps of this size.
 COPIES_PER_STEP = 10_000
 
 
-def has_large_group(bound: DataFrame, rows_per_cell: int) -> bool:
-    """Whether any row of a cheap aggregate with column ``_n`` exceeds the cell size."""
-    largest = bound.agg(F.max("_n")).first()[0]
-    return largest is not None and largest > rows_per_cell
-
-
 def fold_copies(df: DataFrame) -> DataFrame:
     """One row per distinct row and its number of ``_copies``."""
     return df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
@@ -46,7 +37,8 @@ def grid_join(left: DataFrame, right: DataFrame, keys: list[str], condition: Col
     ``rows_per_cell`` is split into ceil(n/r) x ceil(m/r) cells: each left row goes to one grid row
     (by hash of its values) and all its columns, each right row to one grid column and all its
     rows, so every pair meets in exactly one cell. Rows of a side must be distinct, otherwise
-    copies share a cell; column names of the two sides must differ apart from ``keys``.
+    copies share a cell; column names of the two sides must differ apart from ``keys``. The hot keys
+    are a frame of the same plan, often an empty one; adaptive execution broadcasts or shuffles it.
     """
     left_counts = left.groupBy(*keys).agg(F.count("*").alias("_left_rows"))
     right_counts = right.groupBy(*keys).agg(F.count("*").alias("_right_rows"))
@@ -59,11 +51,6 @@ def grid_join(left: DataFrame, right: DataFrame, keys: list[str], condition: Col
             F.ceil(F.col("_right_rows") / rows_per_cell).cast("int").alias("_grid_columns"),
         )
     )
-    found = hot.limit(MAX_BROADCAST_HOT_KEYS + 1).collect()
-    if not found:
-        return left.join(right, keys).filter(condition)
-    if len(found) <= MAX_BROADCAST_HOT_KEYS:
-        hot = F.broadcast(left.sparkSession.createDataFrame(found, hot.schema))
 
     def place(side: DataFrame, own: str, own_size: str, other: str, other_size: str) -> DataFrame:
         values = [c for c in side.columns if c not in keys]

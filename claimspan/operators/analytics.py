@@ -193,18 +193,20 @@ OTHER = "Other"
 #: Reasons per category, tried in this order. Callers pass their own for other reason texts.
 DENIAL_CATEGORIES: Mapping[str, Sequence[str]] = {
     CLINICAL: ("Not Medically Necessary", "Experimental Treatment", "Medical Necessity"),
-    AUTHORIZATION: ("No Prior Authorization", "Authorization Expired", "Prior Authorization Required"),
+    AUTHORIZATION: (
+        "No Prior Authorization", "Authorization Expired", "Prior Authorization Required", "Prior auth required"
+    ),
     ADMINISTRATIVE: ("Duplicate Claim", "Coding Error", "Missing Information", "Timely Filing"),
     FINANCIAL: ("Non-Covered Service", "Benefit Maximum Reached", "Coverage Terminated"),
 }
 
 
 def denial_category(reason: Column | str, mapping: Mapping[str, Sequence[str]] = DENIAL_CATEGORIES) -> Column:
-    """Ordered bucketing; a blank or unknown reason is Other."""
+    """Ordered bucketing without regard to case and outer blanks; a blank or unknown reason is Other."""
     reason = as_column(reason)
     result = F.when(is_blank(reason), F.lit(OTHER))
     for category, reasons in mapping.items():
-        result = result.when(reason.isin(*reasons), F.lit(category))
+        result = result.when(F.lower(F.trim(reason)).isin(*[r.strip().lower() for r in reasons]), F.lit(category))
     return result.otherwise(F.lit(OTHER))
 
 

@@ -13,7 +13,6 @@ from claimspan.functions.pairing import (
     ROWS_PER_CELL,
     fold_copies,
     grid_join,
-    has_large_group,
     pairs_within_days,
     unfold_copies,
 )
@@ -139,8 +138,9 @@ def near_duplicates(
 
     Dates fall into buckets of ``days + 1``; a claim can only meet a claim that is later (or on
     the same day) in its own bucket or the next one. The equi join on member and bucket keeps
-    comparisons inside the band. A first job looks for member buckets with very many rows; if there
-    are any, copies of a claim fold to one row and ``grid_join`` splits those groups.
+    comparisons inside the band. Copies of a claim fold to one row, and ``grid_join`` splits member
+    buckets with very many rows. The result lists every pair, so within the band of one member it grows
+    with the square of its claims; ``near_duplicate_summary`` counts the pairs without building them.
     """
     width = days + 1
     slim = claims.select(
@@ -158,21 +158,15 @@ def near_duplicates(
     )
     keys = ["member_id", "_bucket"] + (["provider_id"] if same_provider else [])
     bucket = F.floor(F.col("_day") / width).cast("int")
-    # A claim is listed under two buckets on one side, so a key has at most twice the rows of a bucket.
-    per_bucket = slim.withColumn("_bucket", bucket).groupBy(*keys).agg((F.count("*") * 2).alias("_n"))
-    split = has_large_group(per_bucket, rows_per_cell)
-    rows = fold_copies(slim) if split else slim
+    rows = fold_copies(slim)
     earlier = _prefixed(rows.withColumn("_bucket", F.explode(F.array(bucket, bucket + 1))), keys, "a_")
     later = _prefixed(rows.withColumn("_bucket", bucket), keys, "b_")
     gap = F.col("b__day") - F.col("a__day")
     in_band = ((gap > 0) & (gap <= days) & (F.col("a_claim_id") != F.col("b_claim_id"))) | (
         (gap == 0) & (F.col("a_claim_id") < F.col("b_claim_id"))
     )
-    if split:
-        pairs = grid_join(earlier, later, keys, in_band, rows_per_cell)
-        pairs = unfold_copies(pairs, F.col("a__copies") * F.col("b__copies"))
-    else:
-        pairs = earlier.join(later, keys).filter(in_band)
+    pairs = grid_join(earlier, later, keys, in_band, rows_per_cell)
+    pairs = unfold_copies(pairs, F.col("a__copies") * F.col("b__copies"))
     a_first = F.col("a_claim_id") < F.col("b_claim_id")
 
     def both(column: str) -> list[Column]:
@@ -232,9 +226,7 @@ def contract_overlaps(contracts: DataFrame, rows_per_cell: int = ROWS_PER_CELL)
         F.col("provider_id").isNotNull() & F.col("start_date").isNotNull()
     )
     keys = ["provider_id", "_year"]
-    per_provider = slim.groupBy("provider_id").agg(F.count("*").alias("_n"))
-    split = has_large_group(per_provider, rows_per_cell)
-    rows = fold_copies(slim) if split else slim
+    rows = fold_copies(slim)
     last_start = slim.agg(F.max("start_date")).scalar()
     covering = _prefixed(
         rows.withColumn("_last", F.least(F.coalesce("end_date", last_start), last_start))
@@ -251,11 +243,8 @@ def contract_overlaps(contracts: DataFrame, rows_per_cell: int = ROWS_PER_CELL)
     overlap = (
         ((a_start < b_start) & (a_id != b_id)) | ((a_start == b_start) & (a_id < b_id))
     ) & (b_start <= F.coalesce("a_end_date", far)) & (a_start <= F.coalesce("b_end_date", far))
-    if split:
-        pairs = grid_join(covering, starting, keys, overlap, rows_per_cell)
-        pairs = unfold_copies(pairs, F.col("a__copies") * F.col("b__copies"))
-    else:
-        pairs = covering.join(starting, keys).filter(overlap)
+    pairs = grid_join(covering, starting, keys, overlap, rows_per_cell)
+    pairs = unfold_copies(pairs, F.col("a__copies") * F.col("b__copies"))
     a_first = a_id < b_id
 
     def pick(first: str, second: str, name: str) -> Column:

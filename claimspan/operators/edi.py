@@ -12,7 +12,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from claimspan.functions.measures import is_blank, strip
-from claimspan.session import scratch_dir
+from claimspan.session import beside, remove_dir, scratch_dir
 from claimspan.sources.schemas import ENROLLMENT_FIELDS
 
 # X12 delimiters and the segment ids that open and close a member loop.
@@ -305,11 +305,11 @@ def summary(decided: DataFrame) -> DataFrame:
 def write_outputs(decided: DataFrame, folder: str) -> dict[str, str]:
     """Loaded, rejected and audit CSV folders with header, replacing the previous run.
 
-    The decided records are written to the shared scratch folder first, so the input is parsed
-    once and the three outputs describe the same records.
+    The decided records are staged beside the outputs first, so the input is parsed once and the three
+    outputs describe the same records; the staged copy goes at the end.
     """
     spark = decided.sparkSession
-    staged = scratch_dir(spark, "enrollment")
+    staged = scratch_dir(spark, "enrollment", f"{folder.rstrip('/')}/_staging")
     decided.write.parquet(staged)
     decided = spark.read.parquet(staged)
     loaded, rejected = route(decided)
@@ -322,12 +322,24 @@ def write_outputs(decided: DataFrame, folder: str) -> dict[str, str]:
     paths = {name: f"{folder.rstrip('/')}/{name}" for name in outputs}
     for name, df in outputs.items():
         df.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(paths[name])
+    remove_dir(spark, staged)
     return paths
 
 
 # ---------------------------------------------------------------- export
 
 
+#: Member values that go into segments.
+EXPORT_FIELDS = (*ENROLLMENT_FIELDS, "maintenance_type", "street", "city", "state", "zip")
+
+
+def delimiter_reason(members: DataFrame) -> Column:
+    """Which fields hold an X12 delimiter, or NULL; such a value would shift the elements behind it."""
+    held = [F.when(F.col(c).cast("string").rlike("[*~]"), F.lit(c)) for c in EXPORT_FIELDS if c in members.columns]
+    names = F.concat_ws(", ", *held)
+    return F.when(names != "", F.concat(names, F.lit(" holds an X12 delimiter")))
+
+
 def member_segments(members: DataFrame) -> DataFrame:
     """Add ``segments``: the member's segments in file order; an absent field leaves its segment out.
 
@@ -378,15 +390,8 @@ def member_segments(members: DataFrame) -> DataFrame:
     )
 
 
-#: Names in the envelope; a caller passes its own trading partners.
-PARTNERS: Mapping[str, str] = {
-    "sender": "ENROLLSENDER",
-    "receiver": "ENROLLRECEIVER",
-    "payer": "SAMPLE HEALTH PLAN",
-    "payer_id": "123456789",
-    "sponsor": "SAMPLE EMPLOYER GROUP",
-    "sponsor_id": "987654321",
-}
+#: What the envelope names; a caller passes its own trading partners.
+PARTNER_KEYS = ("sender", "receiver", "payer", "payer_id", "sponsor", "sponsor_id")
 
 #: ST, BGN, two N1 and SE belong to every transaction beside the member segments.
 ENVELOPE_SEGMENTS = 5
@@ -396,22 +401,33 @@ def write_834(
     members: DataFrame,
     path: str,
     order_by: Sequence[str],
+    partners: Mapping[str, str],
+    created: datetime,
     control_number: int = 1,
-    created: datetime = datetime(2026, 1, 1, 9, 30),
     files: int | None = None,
     members_per_file: int = 250_000,
-    partners: Mapping[str, str] = PARTNERS,
+    rejects: str | None = None,
 ) -> None:
     """Write members as complete 834 interchanges, one text file each.
 
-    Without ``files`` their number follows from ``members_per_file``. Members are dealt out evenly
-    and staged once in the shared scratch folder; each file gets its own envelope, control number
-    and SE count, so files can be written and later read in parallel.
+    ``partners`` has the values of PARTNER_KEYS. Without ``files`` their number follows from
+    ``members_per_file``. Members are dealt out evenly and staged once beside ``path``; each file gets
+    its own envelope, control number and SE count, so files can be written and later read in parallel.
+    A member with a delimiter in a value stops the export; with ``rejects`` such members are written to
+    that Parquet folder with a ``reject_reason`` instead, and all others are exported.
     """
+    missing = [k for k in PARTNER_KEYS if k not in partners]
+    if missing:
+        raise ValueError(f"partners lacks {', '.join(missing)}")
     spark = members.sparkSession
+    if rejects:
+        reason = delimiter_reason(members)
+        marked = members.withColumn("reject_reason", reason)
+        marked.filter(F.col("reject_reason").isNotNull()).write.mode("overwrite").parquet(rejects)
+        members = members.filter(reason.isNull())
     if files is None:
         files = max(1, -(-members.count() // members_per_file))
-    staged_path = scratch_dir(spark, "export-834")
+    staged_path = scratch_dir(spark, "export-834", beside(path))
     (
         member_segments(members)
         .repartition(files)
@@ -465,7 +481,7 @@ def write_834(
     ]
     rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
     (
-        rows.repartition(files, "file_no")
+        rows.repartitionByRange(files, "file_no")
         .sortWithinPartitions("file_no", "part", "position")
         .select("file_no", "value")
         .write.mode("overwrite")
@@ -473,3 +489,4 @@ def write_834(
         .option("lineSep", f"{SEGMENT_END}\n")
         .text(path)
     )
+    remove_dir(spark, staged_path)

@@ -10,9 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from claimspan.functions.measures import normalize_status
-from claimspan.functions.pairing import unfold_copies
 from claimspan.functions.ranking import dense_numbers
-from claimspan.session import scratch_dir
+from claimspan.session import beside, remove_dir, scratch_dir
 from claimspan.sources.readers import path_exists, read_inbound_claims
 from claimspan.sources.schemas import INBOUND_COLUMNS, RUN_LOG
 
@@ -55,12 +54,48 @@ def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Target rows with the updates applied by key; of several updates to one key the latest wins.
 
-    A row without a full key cannot match, so it is always kept or added.
+    A row without a full key cannot match, so it is always kept or added. ``upsert_table`` is the job
+    that writes, and reduces the updates only once.
     """
     newest = latest_rows(updates, keys, order)
     return target.join(newest.select(*keys), list(keys), "left_anti").unionByName(newest)
 
 
+def upsert_table(
+    spark: SparkSession, target: str, updates: DataFrame, keys: Sequence[str], order: Sequence[str] = (),
+    partition_by: Sequence[str] = (),
+) -> None:
+    """Apply updates to the Parquet table at ``target``.
+
+    The updates are reduced to one row per key and staged beside the target. A partitioned table has
+    only the partitions rewritten that hold or get an updated row; the new rows are staged before
+    anything is replaced, so a run that stops can be repeated.
+    """
+    root = beside(target)
+    paths = [scratch_dir(spark, name, root) for name in ("updates", "merged")]
+    try:
+        latest_rows(updates, keys, order).write.parquet(paths[0])
+        newest, old = spark.read.parquet(paths[0]), spark.read.parquet(target)
+        if partition_by:
+            hit = old.join(newest.select(*keys), list(keys), "left_semi").select(*partition_by)
+            touched = hit.unionByName(newest.select(*partition_by)).distinct()
+            same = reduce(Column.__and__, [F.col(f"o.{c}").eqNullSafe(F.col(f"t.{c}")) for c in partition_by])
+            old = old.alias("o").join(touched.alias("t"), same, "left_semi")
+        merged = old.join(newest.select(*keys), list(keys), "left_anti").unionByName(newest).select(*newest.columns)
+        merged.write.parquet(paths[1])
+        writer = spark.read.parquet(paths[1]).write.mode("overwrite")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+            gone = touched.join(spark.read.parquet(paths[1]).select(*partition_by).distinct(), list(partition_by), "left_anti")
+            emptied = [r.asDict() for r in gone.collect()]  # partitions all of whose rows moved
+        writer.parquet(target)
+        for values in emptied if partition_by else ():
+            remove_dir(spark, "/".join([target.rstrip("/"), *(f"{c}={values[c]}" for c in partition_by)]))
+    finally:
+        for path in paths:
+            remove_dir(spark, path)
+
+
 # ---------------------------------------------------------------- de-duplication
 
 
@@ -170,6 +205,7 @@ def write_rejects(df: DataFrame, path: str) -> None:
 SUCCESS = "Success"
 NO_FILE = "No file"
 FAILED = "Failed"
+NOT_ARCHIVED = "Not archived"
 
 
 @dataclass(frozen=True)
@@ -191,11 +227,34 @@ def typed_claims(classified: DataFrame) -> DataFrame:
     )
 
 
-def repeated_rows(rows: DataFrame, kept: DataFrame) -> DataFrame:
-    """``rows`` without one copy of each row of ``kept``: a multiset difference by counting."""
-    signed = rows.withColumn("_n", F.lit(1)).unionByName(kept.withColumn("_n", F.lit(-1)))
-    left = signed.groupBy(*rows.columns).agg(F.sum("_n").alias("_n")).filter("_n > 0")
-    return unfold_copies(left, F.col("_n")).drop("_n")
+def settle_claims(classified: DataFrame, loaded_ids: DataFrame | None) -> DataFrame:
+    """``classified`` with a reject reason for claims that are loaded already or repeated in the batch.
+
+    ``classified`` needs a column ``_row`` with a different number in each row, and must be staged: it is read
+    several times. Only the ids of ``loaded_ids`` (column claim_id) that the batch holds are joined back to it, so
+    the ids of the target are shuffled once. Of the rows of one id the latest stays.
+    """
+    sound = classified.filter(F.col("reject_reason").isNull())
+    if loaded_ids is not None:
+        held = loaded_ids.select(F.col("claim_id").alias("conv_claim_id")).join(
+            sound.select("conv_claim_id").distinct(), "conv_claim_id", "left_semi"
+        )
+        known = held.distinct().withColumn("_known", F.lit(True))
+    else:
+        known = sound.select("conv_claim_id", F.lit(True).alias("_known")).limit(0)
+    marked = classified.join(known, "conv_claim_id", "left").withColumn(
+        "reject_reason", F.coalesce("reject_reason", F.when(F.col("_known"), F.lit(ALREADY_LOADED)))
+    )
+    rest = [c for c in classified.columns if c not in ("conv_claim_id", "conv_service_date", "reject_reason", "_row")]
+    newest = F.max(F.struct("conv_service_date", *rest, "_row")).alias("_best")
+    best = marked.filter(F.col("reject_reason").isNull()).groupBy("conv_claim_id").agg(newest)
+    best = best.select(F.col("_best._row").alias("_row"), F.lit(True).alias("_first"))
+    repeated = F.when(F.col("_first").isNull(), F.lit(REPEATED))
+    return (
+        marked.join(best, "_row", "left")
+        .withColumn("reject_reason", F.coalesce("reject_reason", repeated))
+        .select(*classified.columns)
+    )
 
 
 def load_new_claims(
@@ -214,9 +273,12 @@ def load_new_claims(
 
     Every source row is inserted or rejected with a reason; claim ids the target already holds and
     further rows of one id in the file are rejected too, so a repeated run inserts nothing twice.
-    Classified, new and surviving rows are written to the shared scratch folder, and everything
-    after reads those copies: counts and outputs agree whatever happens to executors.
+    Classified and settled rows are staged beside the target, and counts and outputs read those
+    copies, whatever happens to executors; the copies go when the run ends. Once rows are appended
+    the log says so, also if the file cannot be archived: that gets a line of its own.
     """
+    root = beside(target)
+    staged: list[str] = []
 
     def log(result: LoadResult) -> LoadResult:
         row = [(package_name, run_timestamp, result.rows_inserted, result.rows_rejected, result.status)]
@@ -224,39 +286,37 @@ def load_new_claims(
         return result
 
     def stage(df: DataFrame, name: str) -> DataFrame:
-        staged_path = scratch_dir(spark, name)
-        df.write.parquet(staged_path)
-        return spark.read.parquet(staged_path)
+        staged.append(scratch_dir(spark, name, root))
+        df.write.parquet(staged[-1])
+        return spark.read.parquet(staged[-1])
 
     if not path_exists(spark, path):
         return log(LoadResult(NO_FILE, 0, 0, 0))
     try:
         converted = convert_claims(read_inbound_claims(spark, path))
-        classified = stage(
-            classify_claims(converted, members, providers, "conversion_errors", "conv_"), "claims-classified"
-        )
-        accepted = classified.filter(F.col("reject_reason").isNull())
-        refused = [classified.filter(F.col("reject_reason").isNotNull())]
-        if path_exists(spark, target):
-            known = spark.read.parquet(target).select(F.col("claim_id").alias("conv_claim_id")).distinct()
-            refused.append(
-                accepted.join(known, "conv_claim_id", "left_semi").withColumn("reject_reason", F.lit(ALREADY_LOADED))
-            )
-            accepted = stage(accepted.join(known, "conv_claim_id", "left_anti"), "claims-new")
-        fresh = stage(latest_rows(accepted, ["conv_claim_id"], ["conv_service_date"]), "claims-fresh")
-        inserted = fresh.count()
-        if inserted < accepted.count():
-            refused.append(repeated_rows(accepted, fresh).withColumn("reject_reason", F.lit(REPEATED)))
-        rejects = stage(reduce(DataFrame.unionByName, refused), "claims-rejects")
+        classified = classify_claims(converted, members, providers, "conversion_errors", "conv_")
+        classified = stage(classified.withColumn("_row", F.monotonically_increasing_id()), "claims-classified")
+        loaded = spark.read.parquet(target) if path_exists(spark, target) else None
+        settled = stage(settle_claims(classified, loaded).drop("_row"), "claims-settled")
+        fresh = settled.filter(F.col("reject_reason").isNull())
+        rejects = settled.filter(F.col("reject_reason").isNotNull())
+        counts = settled.agg(F.count("*").alias("rows"), F.count("reject_reason").alias("rejected")).first()
         write_rejects(rejects, reject_path)
         typed_claims(fresh).withColumn("load_timestamp", F.lit(run_timestamp)).write.mode("append").parquet(target)
-        result = LoadResult(SUCCESS, classified.count(), inserted, rejects.count())
-        if archive_dir:
-            archive_file(spark, path, archive_dir, run_timestamp)
     except Exception:
         log(LoadResult(FAILED, 0, 0, 0))
         raise
-    return log(result)
+    finally:
+        for folder in staged:
+            remove_dir(spark, folder)
+    result = log(LoadResult(SUCCESS, counts.rows, counts.rows - counts.rejected, counts.rejected))
+    if archive_dir:
+        try:
+            archive_file(spark, path, archive_dir, run_timestamp)
+        except Exception:
+            log(LoadResult(NOT_ARCHIVED, 0, 0, 0))
+            raise
+    return result
 
 
 def archive_file(spark: SparkSession, path: str, archive_dir: str, run_timestamp: datetime) -> str:
@@ -376,6 +436,66 @@ def terminate_providers(
     return Termination(new_providers, new_contracts, audit, done.unionByName(failed))
 
 
+def run_enrollment(
+    spark: SparkSession, members: str, requests: DataFrame, outcomes: str, as_of: date,
+    plan_types: Sequence[str] = PLAN_TYPES,
+) -> None:
+    """Enroll ``requests`` into the Parquet table at ``members`` and append one outcome per request.
+
+    New rows and outcomes are staged first, so both name the same ids, then appended. Requests that
+    ``outcomes`` already answers are left out: a repeated run changes nothing, and one that stopped
+    between the two appends appends the staged members again only if they are not there yet.
+    """
+    root = beside(members)
+    paths = [scratch_dir(spark, name, root) for name in ("checked", "new-members")]
+    try:
+        if path_exists(spark, outcomes):
+            requests = requests.join(spark.read.parquet(outcomes).select("request_id"), "request_id", "left_anti")
+        rows, answers = enroll_members(spark.read.parquet(members), requests, as_of, plan_types)
+        answers.write.parquet(paths[0])
+        answers = spark.read.parquet(paths[0])
+        # The ids come from the staged answers: the highest member id is read once per run.
+        ids = answers.filter("return_code = 0").select("request_id", F.col("new_member_id").alias("member_id"))
+        checked = requests.withColumn("plan_type", F.trim("plan_type")).join(ids, "request_id")
+        rows = checked.select(
+            "member_id", *[c for c in rows.columns[1:6]], F.lit(as_of).alias("enrollment_date"), F.lit(None).cast("date").alias("disenroll_date")
+        )
+        rows.write.parquet(paths[1])
+        spark.read.parquet(paths[1]).write.mode("append").parquet(members)
+        answers.write.mode("append").parquet(outcomes)
+    finally:
+        for path in paths:
+            remove_dir(spark, path)
+
+
+def run_termination(
+    spark: SparkSession, providers: str, contracts: str, audit: str, requests: DataFrame, changed_at: datetime
+) -> DataFrame:
+    """Apply ``terminate_providers`` to the Parquet tables and append the change log; returns the outcomes.
+
+    All outputs are staged from one reading of the tables before any table is replaced, so they agree.
+    A repeated run with the same ``changed_at`` changes nothing and logs nothing twice.
+    """
+    root = beside(providers)
+    done = terminate_providers(spark.read.parquet(providers), spark.read.parquet(contracts).drop("ends_before_start"), requests, changed_at)
+    frames = {"providers": done.providers, "contracts": done.contracts, "audit": done.audit, "outcomes": done.outcomes}
+    paths = {name: scratch_dir(spark, name, root) for name in frames}
+    try:
+        for name, frame in frames.items():
+            frame.write.parquet(paths[name])
+        staged = {name: spark.read.parquet(path) for name, path in paths.items()}
+        log = staged["audit"]
+        if path_exists(spark, audit):
+            log = log.join(spark.read.parquet(audit).select("record_id", "change_date"), ["record_id", "change_date"], "left_anti")
+        log.select(*staged["audit"].columns).write.mode("append").parquet(audit)
+        staged["providers"].write.mode("overwrite").parquet(providers)
+        staged["contracts"].write.mode("overwrite").parquet(contracts)
+        return spark.createDataFrame(staged["outcomes"].collect(), staged["outcomes"].schema)  # one row per request
+    finally:
+        for path in paths.values():
+            remove_dir(spark, path)
+
+
 def backfill_payer(claims: DataFrame, mapping: DataFrame) -> DataFrame:
     """Fill a missing payer from a (member_id, payer_id) table."""
     lookup = mapping.groupBy("member_id").agg(F.min("payer_id").alias("_payer"))

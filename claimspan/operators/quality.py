@@ -164,20 +164,18 @@ def run_tests(df: DataFrame, spec: Mapping[str, Sequence[object]]) -> DataFrame:
     return union_all(results).withColumn("passed", F.col("failures") == 0)
 
 
-def reconcile(source: DataFrame, loaded: DataFrame, rejected: DataFrame, stage: str = "load") -> DataFrame:
-    """source = loaded + rejected, as one row per stage."""
-    parts = union_all(
-        [df.agg(F.count("*").alias("n")).withColumn("part", F.lit(p))
-         for p, df in (("source", source), ("loaded", loaded), ("rejected", rejected))]
-    )
-    total = {p: F.sum(F.when(F.col("part") == p, F.col("n")).otherwise(0)) for p in ("source", "loaded", "rejected")}
-    return parts.agg(*[c.alias(f"{p}_rows") for p, c in total.items()]).select(
+def reconcile(classified: DataFrame, outcome: str = "reject_reason", stage: str = "load") -> DataFrame:
+    """source = loaded + rejected, as one row: each classified row is loaded or, with an ``outcome``, rejected.
+
+    One aggregate with conditional counts, so the rows are classified and read once.
+    """
+    rejected = F.count(outcome)
+    return classified.agg(
         F.lit(stage).alias("stage"),
-        "source_rows",
-        "loaded_rows",
-        "rejected_rows",
-        (F.col("source_rows") == F.col("loaded_rows") + F.col("rejected_rows")).alias("balanced"),
-    )
+        F.count("*").alias("source_rows"),
+        F.count_if(F.col(outcome).isNull()).alias("loaded_rows"),
+        rejected.alias("rejected_rows"),
+    ).withColumn("balanced", F.col("source_rows") == F.col("loaded_rows") + F.col("rejected_rows"))
 
 
 def scorecard(scores: DataFrame) -> DataFrame:
@@ -199,9 +197,11 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     aggregates: list[Column] = []
     rows: list[Column] = []
     for i, name in enumerate(names):
-        numeric = isinstance(df.schema[name].dataType, T.NumericType)
-        exact = isinstance(df.schema[name].dataType, (T.DecimalType, T.IntegralType))
-        total = F.sum(F.col(name).cast("decimal(38,2)") if exact else F.col(name)) if numeric else F.lit(None)
+        kind = df.schema[name].dataType
+        numeric = isinstance(kind, T.NumericType)
+        exact = isinstance(kind, (T.DecimalType, T.IntegralType))
+        scale = kind.scale if isinstance(kind, T.DecimalType) else 0
+        total = F.sum(F.col(name).cast(f"decimal(38,{scale})") if exact else F.col(name)) if numeric else F.lit(None)
         spread = F.stddev(F.col(name).cast("double")) if numeric else F.lit(None)
         aggregates += [
             F.count(name).alias(f"_n{i}"),

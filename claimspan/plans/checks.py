@@ -136,14 +136,44 @@ def _next_delivery(t):
 
 NEXT_DELIVERY = """(select * replace (claim_id + 1000 as claim_id) from claims_redelivered
                     qualify row_number() over (partition by claim_id order by load_timestamp desc) = 1)"""
+ORACLE_S9 = f"""with newer as {NEXT_DELIVERY}
+        select {ROW} from (
+          select * from newer union all select * from claims where claim_id not in (select claim_id from newer))"""
 add(
     "S9_upsert",
     lambda t: etl.upsert(t.claims, _next_delivery(t), ["claim_id"], ["load_timestamp"]).select(
         *NO_TIME, load_date()
     ),
-    f"""with newer as {NEXT_DELIVERY}
-        select {ROW} from (
-          select * from newer union all select * from claims where claim_id not in (select claim_id from newer))""",
+    ORACLE_S9,
+)
+def _upserted(t):
+    """The same through the job, over a partitioned table."""
+    path = f"{scratch_dir(t.spark, 'upsert')}/claims"
+    t.claims.write.partitionBy("claim_status").parquet(path)
+    etl.upsert_table(t.spark, path, _next_delivery(t), ["claim_id"], ["load_timestamp"], ["claim_status"])
+    return t.spark.read.parquet(path).select(*NO_TIME, load_date())
+
+
+add("S9_upsert_table", _upserted, ORACLE_S9)
+
+
+def _incremental(t):
+    """Approved claims first; then all claims, of which some have lost their date, in a source that has grown."""
+    base = scratch_dir(t.spark, "incremental")
+    late = F.when(F.col("claim_status") == "Pending", F.lit(None)).otherwise(F.col("service_date"))
+    source = t.claims.select("claim_id", "claim_status", late.cast("date").alias("service_date"))
+    for rows in (source.filter("claim_status = 'Approved'"), source, source):
+        incremental.run_incremental(t.spark, rows, f"{base}/claims", f"{base}/control", "service_date", "claim_id")
+    return t.spark.read.parquet(f"{base}/claims")
+
+
+add(
+    "T1_incremental_runs",
+    _incremental,
+    """select claim_id, claim_status, case when claim_status <> 'Pending' then service_date end as service_date
+       from claims
+       where claim_status in ('Approved', 'Pending')
+          or service_date >= (select max(service_date) from claims where claim_status = 'Approved')""",
 )
 add(
     "T1_load_since",
@@ -304,7 +334,7 @@ add(
 )
 add(
     "Q8_reconcile",
-    lambda t: quality.reconcile(t.claims, *etl.route_claims(t.claims, t.members, t.providers), stage="lookup"),
+    lambda t: quality.reconcile(etl.classify_claims(t.claims, t.members, t.providers), stage="lookup"),
     """select 'lookup' as stage, count(*) as source_rows,
               count(*) filter (where m.member_id is not null and p.provider_id is not null) as loaded_rows,
               count(*) filter (where m.member_id is null or p.provider_id is null) as rejected_rows,
@@ -411,19 +441,22 @@ add(
     f"""select request_id, return_code, {NEW_ID} as new_member_id, cast(null as varchar) as message
         from ({REQUESTS}) where return_code = 0
         union all
-        select request_id, return_code, null, case return_code when -1 then 'Invalid gender code. Use M, F, or U.'
-               else 'Invalid plan type. Use HMO, PPO, or EPO.' end
+        select request_id, return_code, null, case return_code when -1 then '{etl.BAD_GENDER}'
+               else '{etl.BAD_PLAN}' end
         from ({REQUESTS}) where return_code < 0""",
 )
 
 
-def _terminate(t):
-    requests = t.raw("supplier").selectExpr(
+def _term_requests(t):
+    return t.raw("supplier").selectExpr(
         "s_suppkey * 3 as provider_id",
         "date_add(date'1999-06-30', cast(s_suppkey * 17 % 400 as int)) as term_date",
         "'admin' as changed_by",
     )
-    return etl.terminate_providers(t.providers, t.contracts, requests, RUN_AT)
+
+
+def _terminate(t):
+    return etl.terminate_providers(t.providers, t.contracts, _term_requests(t), RUN_AT)
 
 
 TERMS = """(select s_suppkey * 3 as provider_id, date '1999-06-30' + cast(s_suppkey * 17 % 400 as int) as new_term
@@ -448,15 +481,15 @@ add(
     "D2_change_log",
     lambda t: _terminate(t).audit.withColumn("change_date", F.col("change_date").cast("date")),
     f"""select 'providers' as table_name, 'UPDATE' as operation, provider_id as record_id, 'admin' as changed_by,
-               {TODAY} as change_date, 'Provider terminated. Term Date set to ' || cast(new_term as varchar) as notes
+               {TODAY} as change_date, '{etl.TERMINATION_NOTE}' || cast(new_term as varchar) as notes
         from {TERMS} join providers using (provider_id)""",
 )
 add(
     "D2_outcomes",
     lambda t: _terminate(t).outcomes,
-    f"""select r.provider_id, case when p.provider_id is null then 50001 else 0 end as error_number,
-               case when p.provider_id is null then 'Provider not found.'
-                    else 'Provider terminated successfully.' end as message
+    f"""select r.provider_id, case when p.provider_id is null then {etl.PROVIDER_NOT_FOUND_CODE} else 0 end as error_number,
+               case when p.provider_id is null then '{etl.PROVIDER_NOT_FOUND}'
+                    else '{etl.TERMINATED}' end as message
         from {TERMS} r left join providers p on p.provider_id = r.provider_id""",
 )
 add(
@@ -502,3 +535,63 @@ add(
               monthname(d) as month_name, cast(quarter(d) as int) as calendar_quarter, dayname(d) as day_of_week
        from (select unnest(generate_series(min(service_date), max(service_date), interval 1 day)) as d from claims)""",
 )
+
+
+def _enrolled(t):
+    """The job over written tables, run twice: the second run finds every request answered."""
+    base = scratch_dir(t.spark, "enrollment-job")
+    t.members.write.parquet(f"{base}/members")
+    for _ in range(2):
+        etl.run_enrollment(t.spark, f"{base}/members", _requests(t), f"{base}/outcomes", AS_OF)
+    members = t.spark.read.parquet(f"{base}/members").filter(F.col("enrollment_date") == F.lit(AS_OF))
+    outcomes = t.spark.read.parquet(f"{base}/outcomes").filter("return_code = 0")
+    return outcomes.join(members, outcomes.new_member_id == members.member_id, "left").select(
+        "request_id", "new_member_id", "member_name", "plan_type", "gender"
+    )
+
+
+add(
+    "D1_enrollment_job",
+    _enrolled,
+    f"""select request_id, {NEW_ID} as new_member_id, member_name, plan_type, gender
+        from ({REQUESTS}) where return_code = 0""",
+)
+
+
+def _terminated(t):
+    """The job over written tables, run twice; contracts and log entries of each provider afterwards."""
+    base = scratch_dir(t.spark, "termination-job")
+    t.providers.write.parquet(f"{base}/providers")
+    t.contracts.write.parquet(f"{base}/contracts")
+    for _ in range(2):
+        etl.run_termination(t.spark, f"{base}/providers", f"{base}/contracts", f"{base}/log", _term_requests(t), RUN_AT)
+    read = lambda name: t.spark.read.parquet(f"{base}/{name}")
+    log = read("log").groupBy(F.col("record_id").alias("provider_id")).agg(F.count("*").alias("entries"))
+    ends = read("contracts").groupBy("provider_id").agg(F.max("end_date").alias("last_end"))
+    return (
+        read("providers").select("provider_id", "term_date").join(log, "provider_id", "left").join(ends, "provider_id", "left")
+    )
+
+
+add(
+    "D2_termination_job",
+    _terminated,
+    f"""with closed as (
+          select n.provider_id, max(case when p.provider_id is not null and new_term is not null
+                       and (end_date is null or end_date > new_term) then new_term else end_date end) as last_end
+          from network_contracts n left join {TERMS} r on r.provider_id = n.provider_id
+                                   left join providers p on p.provider_id = n.provider_id group by 1)
+        select p.provider_id, coalesce(new_term, term_date) as term_date,
+               case when new_term is not null then cast(1 as bigint) end as entries, last_end
+        from providers p left join {TERMS} r on r.provider_id = p.provider_id
+                         left join closed c on c.provider_id = p.provider_id""",
+)
+add(
+    "A17_rate_profile",
+    lambda t: quality.profile(
+        t.raw("lineitem").select((F.col("l_quantity").cast("decimal(9,4)") * F.lit("1.0007").cast("decimal(5,4)")).cast("decimal(9,4)").alias("rate"))
+    ).select("column", "count", "mean", "min", "max"),
+    """select 'rate' as "column", count(*) as count, round(cast(sum(rate) as double) / count(*), 4) as mean,
+              cast(min(rate) as varchar) as min, cast(max(rate) as varchar) as max
+       from (select cast(cast(l_quantity as decimal(9,4)) * cast(1.0007 as decimal(5,4)) as decimal(9,4)) as rate from lineitem)""",
+)

@@ -146,6 +146,21 @@ add(
                count(*) as denied_claims, {BILLED} as denied_amount
         from claims where claim_status = 'Denied' group by 1""",
 )
+SEED_REASONS = {
+    "1-URGENT": "NOT medically necessary ",
+    "2-HIGH": "Prior auth required",
+    "3-MEDIUM": "Coding error",
+    "4-NOT SPECIFIED": "Benefit maximum reached",
+}
+add(
+    "P13_default_categories",
+    lambda t: analytics.denials_by_category(t.claims.replace(SEED_REASONS, subset=["denial_reason"])),
+    f"""select case denial_reason when '1-URGENT' then 'Clinical' when '2-HIGH' then 'Authorization'
+                    when '3-MEDIUM' then 'Administrative' when '4-NOT SPECIFIED' then 'Financial'
+                    else 'Other' end as denial_category,
+               count(*) as denied_claims, {BILLED} as denied_amount
+        from claims where claim_status = 'Denied' group by 1""",
+)
 add(
     "P14_contracts_expiring",
     lambda t: reports.contracts_expiring(t.contracts, AS_OF),
@@ -630,7 +645,11 @@ add(
     """select claim_id, member_id, billed_amount from claims
        order by billed_amount desc nulls last, claim_id limit 25""",
 )
-add("O4_preview", lambda t: t.claims.select(*CLAIM_COLUMNS[:6]).limit(5))
+add(
+    "O4_preview",
+    lambda t: t.claims.select(*CLAIM_COLUMNS[:6]).orderBy("claim_id").limit(5),
+    f"select {', '.join(CLAIM_COLUMNS[:6])} from claims order by claim_id limit 5",
+)
 
 # ---------------------------------------------------------------- scalars
 

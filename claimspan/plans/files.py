@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, functions as F
@@ -19,15 +20,26 @@ RUN_AT = datetime(2000, 6, 30, 12, 0)
 FILE_COLUMNS = [c for c in CLAIM_COLUMNS if c != "load_timestamp"]
 ALL_CLAIMS = f"select {', '.join(FILE_COLUMNS)} from claims"
 FIELDS = ", ".join(ENROLLMENT_FIELDS)
+TRADING_PARTNERS = {
+    "sender": "TESTPAYROLL",
+    "receiver": "TESTPLAN",
+    "payer": "PLAN UNDER TEST",
+    "payer_id": "P-1",
+    "sponsor": "EMPLOYER UNDER TEST",
+    "sponsor_id": "S-1",
+}
 
 # ---------------------------------------------------------------- claim files and tables
 
 
-def _csv(t: Tables) -> DataFrame:
+def _claims_csv(t: Tables) -> str:
     path = scratch_dir(t.spark, "claims-csv")
-    claims = t.claims.select(*FILE_COLUMNS)
-    claims.write.option("header", True).csv(path)
-    return readers.read_claims_csv(t.spark, path, claims.schema)
+    t.claims.select(*FILE_COLUMNS).write.option("header", True).csv(path)
+    return path
+
+
+def _csv(t: Tables) -> DataFrame:
+    return readers.read_claims_csv(t.spark, _claims_csv(t), t.claims.select(*FILE_COLUMNS).schema)
 
 
 def _json(t: Tables) -> DataFrame:
@@ -74,6 +86,14 @@ def _saved(t: Tables) -> DataFrame:
 
 
 add("S1_read_csv", _csv, ALL_CLAIMS)
+add(
+    "S1_read_csv_inferred",
+    lambda t: readers.read_claims_csv(t.spark, _claims_csv(t)).select(
+        "claim_id", "member_id", "provider_id", "service_date", "claim_status", "denial_reason"
+    ),
+    """select cast(claim_id as integer) as claim_id, cast(member_id as integer) as member_id,
+              cast(provider_id as integer) as provider_id, service_date, claim_status, denial_reason from claims""",
+)
 add("S2_read_json", _json, ALL_CLAIMS)
 add(
     "S3_inbound_claims",
@@ -176,6 +196,16 @@ add(
 )
 
 
+add(
+    "D5_rejects",
+    lambda t: t.spark.read.option("header", True).csv(f"{_loaded(t)[1]}/rejects").select("claim_id", "reject_reason"),
+    f"""select claim_id, coalesce(nullif(errors, ''), case when not member_ok then 'member not found'
+                                                       when not provider_ok then 'provider not found'
+                                                       else 'claim already loaded' end) as reject_reason
+        from ({INBOUND_OUTCOME})""",
+)
+
+
 def _stream_copy(t: Tables) -> DataFrame:
     """Arriving files -> stream -> table; processed files move to the archive."""
     base = scratch_dir(t.spark, "arrivals")
@@ -194,25 +224,51 @@ def _stream_copy(t: Tables) -> DataFrame:
 
 
 def _ingest(t: Tables) -> DataFrame:
+    """Two deliveries: all claims, then all again with corrected amounts, padded ids and blank ids."""
     base = scratch_dir(t.spark, "ingest")
-    inbound = write_inbound(t)
-    again = t.inbound.filter("claim_status = 'PENDING'")  # delivered twice
-    again.write.mode("append").option("header", True).option("quote", "").csv(inbound)
-    streams.start_claims_ingest(
-        streams.inbound_stream(t.spark, inbound), t.members, t.providers, f"{base}/claims", f"{base}/checkpoint"
-    ).awaitTermination()
-    return t.spark.read.parquet(f"{base}/claims").select("claim_id", "outcome", "reject_reason")
+
+    def deliver(rows: DataFrame) -> None:
+        options = {"header": True, "quote": "", "encoding": "iso-8859-1", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        rows.write.mode("append").options(**options).csv(f"{base}/in")
+        stream = streams.inbound_stream(t.spark, f"{base}/in")
+        streams.start_claims_ingest(stream, t.members, t.providers, f"{base}/claims", f"{base}/checkpoint").awaitTermination()
+
+    deliver(t.inbound)
+    changed = F.when(F.col("claim_status") == "DENIED", F.concat(F.lit(" "), "claim_id")).when(F.col("claim_status") == "PAID", F.lit("  "))
+    corrected = F.when((F.col("claim_status") == "PENDING") & (F.col("billed_amount") == "n/a"), F.lit("10.00"))
+    again = t.inbound.withColumn("claim_id", F.coalesce(changed, "claim_id"))
+    deliver(again.withColumn("billed_amount", F.coalesce(corrected, "billed_amount")))
+    return t.spark.read.parquet(f"{base}/claims").select(F.trim("claim_id").alias("claim_id"), "outcome", "reject_reason")
 
 
 add("S12_file_arrival", _stream_copy, f"select {', '.join(INBOUND_COLUMNS)} from inbound")
+FIRST_DELIVERY = f"""
+    select claim_id, claim_status, errors, member_ok, provider_ok,
+           coalesce(nullif(errors, ''), case when not member_ok then 'member not found'
+                                             when not provider_ok then 'provider not found' end) as reason
+    from ({INBOUND_OUTCOME})"""
 add(
     "T2_stream_ingest",
     _ingest,
-    f"""select claim_id,
-               case when errors = '' and member_ok and provider_ok then 'accepted' else 'rejected' end as outcome,
-               case when errors <> '' then errors when not member_ok then 'member not found'
-                    when not provider_ok then 'provider not found' end as reject_reason
-        from ({INBOUND_OUTCOME})""",
+    f"""with first_one as ({FIRST_DELIVERY}),
+        second_one as (
+          select if(claim_status = 'PAID', '', claim_id) as claim_id, member_ok, provider_ok, reason is null as loaded,
+                 case when claim_status = 'PAID'
+                        then concat_ws('; ', nullif(regexp_replace(errors, '^claim_id: not a whole number(; )?', ''), ''),
+                                       'claim_id: missing')
+                      when claim_status = 'PENDING'
+                        then array_to_string(list_filter(string_split(errors, '; '),
+                                                         lambda x: x <> '' and not starts_with(x, 'billed_amount')), '; ')
+                      else errors end as errors
+          from first_one)
+        select claim_id, case when reason is null then 'accepted' else 'rejected' end as outcome, reason as reject_reason
+        from first_one
+        union all
+        select claim_id, case when r is null then 'accepted' else 'rejected' end, r from (
+          select claim_id, coalesce(nullif(errors, ''), case when not member_ok then 'member not found'
+                                                             when not provider_ok then 'provider not found'
+                                                             when loaded then 'claim already loaded' end) as r
+          from second_one)""",
 )
 
 
@@ -220,8 +276,8 @@ def _stream_summary(t: Tables) -> DataFrame:
     schema = t.raw("orders").schema
     orders = streams.file_stream(t.spark, f"{t.sf_dir}/orders.parquet*", schema, file_format="parquet")
     summary = streams.stream_summary(t.claims_from(orders))
-    name = f"claimspan_summary_{uuid4().hex[:12]}"
-    return streams.run_summary(summary, name, scratch_dir(t.spark, name))
+    base = scratch_dir(t.spark, "summary")
+    return streams.run_summary(summary, f"{base}/table", f"{base}/checkpoint")
 
 
 add(
@@ -238,7 +294,7 @@ EXPORT_FILES = 4
 
 def export_834(t: Tables) -> str:
     path = scratch_dir(t.spark, "enrollment-834")
-    edi.write_834(t.enrollment, path, ["last_name"], files=EXPORT_FILES)
+    edi.write_834(t.enrollment, path, ["last_name"], TRADING_PARTNERS, RUN_AT, files=EXPORT_FILES)
     return path
 
 
@@ -395,19 +451,17 @@ add(
 )
 
 
-def _written(t: Tables) -> DataFrame:
+def _written(t: Tables, *names: str) -> DataFrame:
     paths = edi.write_outputs(_decided(t), scratch_dir(t.spark, "outputs"))
     found = [
-        t.spark.read.option("header", True).csv(path).fillna("").withColumn("file", F.lit(name))
-        for name, path in paths.items()
-        if name != "audit_log"
+        t.spark.read.option("header", True).csv(paths[name]).fillna("").withColumn("file", F.lit(name)) for name in names
     ]
-    return found[0].unionByName(found[1])
+    return reduce(DataFrame.unionByName, found)
 
 
 add(
     "S11_write_outputs",
-    _written,
+    lambda t: _written(t, "enrollment_loaded", "enrollment_rejected"),
     f"""select * exclude (issue_count),
                case load_status when 'LOADED' then 'enrollment_loaded' else 'enrollment_rejected' end as file
         from ({DECIDED})""",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -52,21 +51,18 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_local_scratch: str | None = None
+def scratch_dir(spark: SparkSession, name: str, root: str | None = None) -> str:
+    """A new folder below ``root``, the cluster's shared checkpoint folder, or the warehouse folder."""
+    root = root or spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/claimspan/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's shared checkpoint folder.
+def beside(target: str) -> str:
+    """The staging folder of a job, next to the folder that the job writes."""
+    return f"{target.rstrip('/').rsplit('/', 1)[0]}/_staging"
 
-    Only a local[*] session without ``spark.checkpoint.dir`` falls back to this machine's
-    temporary folder; on a cluster the executors could not see it.
-    """
-    global _local_scratch
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        if _local_scratch is None:
-            _local_scratch = tempfile.mkdtemp(prefix="claimspan-")
-        root = _local_scratch
-    return f"{root.rstrip('/')}/claimspan/{name}-{uuid.uuid4().hex[:12]}"
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Remove a staged folder, on whatever file system it is."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from claimspan.functions.measures import money
-from claimspan.operators.etl import classify_claims, convert_claims
-from claimspan.sources.readers import INBOUND_OPTIONS, from_code_page_1252
+from claimspan.operators.etl import classify_claims, convert_claims, settle_claims
+from claimspan.session import beside, remove_dir, scratch_dir
+from claimspan.sources.readers import INBOUND_OPTIONS, from_code_page_1252, path_exists
 from claimspan.sources.schemas import INBOUND_CLAIMS
 
 
@@ -31,35 +32,38 @@ def inbound_stream(spark: SparkSession, in_dir: str, archive_dir: str | None = N
 
 
 def start_claims_ingest(
-    raw: DataFrame,
-    members: DataFrame,
-    providers: DataFrame,
-    target: str,
-    checkpoint: str,
-    received_within: str = "30 days",
+    raw: DataFrame, members: DataFrame, providers: DataFrame, target: str, checkpoint: str
 ) -> StreamingQuery:
-    """Convert, drop re-delivered claim ids, route, and write accepted and rejected rows.
+    """Convert, route, and write accepted and rejected rows of each micro-batch.
 
-    One query writes both outcomes as folders ``outcome=accepted`` and ``outcome=rejected`` of one
-    Parquet table. The file sink commits a batch as a whole, so both sides appear together and
-    exactly once after a restart. Claim ids are remembered for ``received_within``; a row without
-    an id gets a key of its own and reaches the rejects.
+    Every row of the source gets one outcome: claims that fail conversion, have no known member or provider,
+    are accepted already, or are repeated in the batch are rejected with that reason; a claim that was rejected
+    can be delivered again corrected. Ids are compared after conversion with those ``target`` has accepted, so
+    nothing is forgotten. Rows are written as ``batch_id=.../outcome=...`` of one Parquet table; a batch that is
+    run again after a failure replaces what it had written.
     """
-    received = (
-        convert_claims(raw)
-        .withColumn("received_at", F.current_timestamp())
-        .withColumn("delivery_key", F.coalesce("claim_id", F.uuid()))
-    )
-    once = received.withWatermark("received_at", received_within).dropDuplicatesWithinWatermark(["delivery_key"])
-    classified = classify_claims(once.drop("delivery_key"), members, providers, "conversion_errors", "conv_").withColumn(
-        "outcome", F.when(F.col("reject_reason").isNull(), "accepted").otherwise("rejected")
-    )
+    spark = raw.sparkSession
+
+    def settle(batch: DataFrame, batch_id: int) -> None:
+        staged = scratch_dir(spark, "batch", beside(target))
+        try:
+            classified = classify_claims(convert_claims(batch), members, providers, "conversion_errors", "conv_")
+            classified.withColumn("_row", F.monotonically_increasing_id()).write.parquet(staged)
+            loaded = None
+            if path_exists(spark, target):
+                before = (F.col("outcome") == "accepted") & (F.col("batch_id") < batch_id)
+                loaded = spark.read.parquet(target).filter(before).select(F.col("conv_claim_id").alias("claim_id"))
+            settled = settle_claims(spark.read.parquet(staged), loaded).drop("_row")
+            outcome = F.when(F.col("reject_reason").isNull(), "accepted").otherwise("rejected")
+            writer = settled.withColumn("batch_id", F.lit(batch_id).cast("long")).withColumn("outcome", outcome).write
+            writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy("batch_id", "outcome").parquet(target)
+        finally:
+            remove_dir(spark, staged)
+
     return (
-        classified.writeStream.format("parquet")
-        .partitionBy("outcome")
-        .option("path", target)
+        raw.writeStream.foreachBatch(settle)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
@@ -72,20 +76,22 @@ def stream_summary(stream: DataFrame, by: str = "claim_status", amount: str = "b
     )
 
 
-def run_summary(summary: DataFrame, name: str, checkpoint: str) -> DataFrame:
+def run_summary(summary: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Run a complete-mode aggregate over all files present now and return its result table.
 
-    The memory sink keeps the result on the driver, so this is for groups known to be few, such as
-    claim statuses. Write larger results with an append-mode file sink.
+    Each batch replaces the Parquet table at ``path`` with the whole result, so the groups stay on the
+    executors and a batch that is run again does no harm.
     """
+
+    def replace(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
     query = (
-        summary.writeStream.format("memory")
-        .queryName(name)
+        summary.writeStream.foreachBatch(replace)
         .outputMode("complete")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return summary.sparkSession.table(name)
-
+    return summary.sparkSession.read.schema(summary.schema).parquet(path)

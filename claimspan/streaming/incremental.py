@@ -9,6 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimspan.operators.etl import latest_rows
+from claimspan.session import beside, remove_dir, scratch_dir
 from claimspan.sources.readers import path_exists
 
 
@@ -19,6 +20,13 @@ class Increment:
     previous: date | None
 
 
+@dataclass(frozen=True)
+class IncrementalRun:
+    loaded: int
+    watermark: date | None
+    previous: date | None
+
+
 def load_since(
     source: DataFrame, watermark: date | None, date_col: str, tie: tuple[str, int] | None = None
 ) -> Increment:
@@ -61,18 +69,31 @@ def dedupe_append(
 
 def run_incremental(
     spark: SparkSession, source: DataFrame, target: str, control: str, date_col: str, key: str
-) -> Increment:
-    """One scheduled run: load since the watermark, drop re-delivered keys, append, move the watermark.
+) -> IncrementalRun:
+    """One scheduled run: load from the watermark on, drop re-delivered keys, append, move the watermark.
 
-    The watermark moves last. A run that stops before it loads the same rows again, and the key
-    test keeps them from being appended twice.
+    Rows of the watermark day are read again, since more of them may have arrived, and so are rows without
+    a date, which no watermark covers; the key test keeps what the target holds from being appended twice.
+    The newest date is fixed before the rows are read, and the watermark moves last, so a run that stops
+    can be repeated.
     """
-    step = load_since(source, read_watermark(spark, control), date_col)
-    if step.watermark == step.previous:
-        return step
-    rows = latest_rows(step.rows, [key], [date_col])
+    watermark = read_watermark(spark, control)
+    day = F.col(date_col)
+    due = F.lit(True) if watermark is None else (day >= F.lit(watermark))
+    newest = source.filter(due).agg(F.max(day)).first()[0] or watermark
+    seen = F.lit(False) if newest is None else (day <= F.lit(newest))
+    rows = latest_rows(source.filter((due & seen) | day.isNull()), [key], [date_col])
     if path_exists(spark, target):
         rows = dedupe_append(spark.read.parquet(target), rows, key, [date_col])
-    rows.write.mode("append").parquet(target)
-    write_watermark(spark, control, step.watermark)
-    return step
+    staged = scratch_dir(spark, "increment", beside(target))
+    try:
+        rows.write.parquet(staged)
+        rows = spark.read.schema(source.schema).parquet(staged)
+        loaded = rows.count()
+        if loaded:
+            rows.write.mode("append").parquet(target)
+    finally:
+        remove_dir(spark, staged)
+    if newest is not None and newest != watermark:
+        write_watermark(spark, control, newest)
+    return IncrementalRun(loaded, newest, watermark)

@@ -1,6 +1,6 @@
 """834 files: scan, loops, fields, rules, load control, export."""
 
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +9,8 @@ from claimspan.operators import edi
 from claimspan.sources.schemas import ENROLLMENT_FIELDS
 
 AS_OF = date(2026, 8, 8)
+CREATED = datetime(2026, 8, 8, 10, 15)
+PARTNERS = {"sender": "A", "receiver": "B", "payer": "C", "payer_id": "1", "sponsor": "D", "sponsor_id": "2"}
 
 ENVELOPE = "ISA*00*x~GS*BE*A*B~ST*834*0001~BGN*00*1~N1*P5*PLAN~"
 
@@ -156,7 +158,7 @@ def test_export_is_one_valid_file_in_order(spark, tmp_path):
     df = spark.createDataFrame(rows, ", ".join(f"{f} string" for f in ENROLLMENT_FIELDS))
     df = df.withColumn("street", F.lit("1 MAIN ST")).withColumn("city", F.lit("X")).withColumn("state", F.lit("TX"))
     path = str(tmp_path / "out")
-    edi.write_834(df.withColumn("zip", F.lit("77001")), path, ["last_name"])
+    edi.write_834(df.withColumn("zip", F.lit("77001")), path, ["last_name"], PARTNERS, CREATED)
     text = "".join(p.read_text() for p in sorted((tmp_path / "out").rglob("part-*")))
     segments = [s.strip().split("*") for s in text.split("~") if s.strip()]
     assert [s[0] for s in segments[:7]] == ["ISA", "GS", "ST", "BGN", "N1", "N1", "INS"]
@@ -172,12 +174,12 @@ def test_export_in_several_files_and_of_nothing(spark, tmp_path, files):
     rows = [{**CLEAN, "member_id": f"M{i % 3}"} for i in range(30)]  # copies
     schema = ", ".join(f"{f} string" for f in ENROLLMENT_FIELDS)
     path = str(tmp_path / "out")
-    edi.write_834(spark.createDataFrame(rows, schema), path, ["member_id"], files=files, members_per_file=7)
+    edi.write_834(spark.createDataFrame(rows, schema), path, ["member_id"], PARTNERS, CREATED, files=files, members_per_file=7)
     envelope = edi.check_envelope(edi.read_segments(spark, path)).collect()
     assert len(envelope) == (files or 5) and all(r.matches for r in envelope)
     assert sorted(r["member_id"] for r in parse(spark, path)) == sorted(r["member_id"] for r in rows)
     empty = str(tmp_path / "empty")
-    edi.write_834(spark.createDataFrame([], schema), empty, ["member_id"], files=files)
+    edi.write_834(spark.createDataFrame([], schema), empty, ["member_id"], PARTNERS, CREATED, files=files)
     assert parse(spark, empty) == []
     assert [r.matches for r in edi.check_envelope(edi.read_segments(spark, empty)).collect()][:1] == [True]
 
@@ -196,4 +198,4 @@ def test_written_outputs(spark, tmp_path):
 def test_export_refuses_delimiters_in_values(spark, tmp_path, value):
     df = spark.createDataFrame([{**CLEAN, "last_name": value}], ", ".join(f"{f} string" for f in ENROLLMENT_FIELDS))
     with pytest.raises(Exception, match="last_name holds an X12 delimiter"):
-        edi.write_834(df, str(tmp_path / "out"), ["member_id"])
+        edi.write_834(df, str(tmp_path / "out"), ["member_id"], PARTNERS, CREATED)

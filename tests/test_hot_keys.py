@@ -54,10 +54,14 @@ def test_near_duplicates_with_and_without_split_groups(spark, same_provider, row
     assert got == brute_pairs(rows, 7, same_provider)
 
 
-def test_many_hot_keys_are_joined_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(pairing, "MAX_BROADCAST_HOT_KEYS", 2)
+def test_pairs_start_no_job_while_they_are_planned(spark):
     claims, rows = make_claims(spark)
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    spark.sparkContext.setJobGroup("pairs", "planning")
     pairs = audits.near_duplicates(claims, 7, rows_per_cell=2)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("pairs")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
     assert Counter((r.claim_id_1, r.claim_id_2, r.days_apart) for r in pairs.collect()) == brute_pairs(rows, 7)
 
 

@@ -205,7 +205,7 @@ def test_incremental_runs_load_every_row_once(spark, tmp_path):
     first = incremental.run_incremental(spark, source, target, control, "service_date", "claim_id")
     assert (first.previous, first.watermark) == (None, day(2))
     unchanged = incremental.run_incremental(spark, source, target, control, "service_date", "claim_id")
-    assert unchanged.watermark == day(2) and unchanged.rows.count() == 0
+    assert unchanged.watermark == day(2) and unchanged.loaded == 0
     source = source.union(spark.createDataFrame([(3, day(5)), (1, day(6))], schema))  # 1 is delivered again
     incremental.run_incremental(spark, source, target, control, "service_date", "claim_id")
     assert incremental.read_watermark(spark, control) == day(6)
@@ -252,10 +252,68 @@ def test_stream_ingest_survives_restart_and_redelivery(spark, tmp_path, keys):
     run()
     rows = spark.read.parquet(out).collect()
     assert sorted((r.claim_id or "", r.outcome) for r in rows) == [
-        ("", "rejected"), ("", "rejected"), ("1", "accepted"), ("2", "rejected"), ("3", "accepted"),
+        ("", "rejected"), ("", "rejected"), ("1", "accepted"), ("1", "rejected"), ("2", "rejected"), ("3", "accepted"),
     ]
 
 
+def test_stream_loses_no_row_and_accepts_an_id_once(spark, tmp_path, keys, monkeypatch):
+    in_dir, out, checkpoint = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "checkpoint")
+
+    def run():
+        streams.start_claims_ingest(streams.inbound_stream(spark, in_dir), *keys, out, checkpoint).awaitTermination()
+
+    inbound(f"{in_dir}/a.csv", line(billed="n/a"), line(claim_id="  "), line(claim_id="  "), line(claim_id="11"))
+    settle = streams.settle_claims
+    with monkeypatch.context() as m:  # stops after staging, before anything is written
+        m.setattr(streams, "settle_claims", lambda *a: (_ for _ in ()).throw(RuntimeError("stopped")))
+        with pytest.raises(Exception, match="stopped"):
+            run()
+    assert settle is streams.settle_claims
+    run()
+    inbound(f"{in_dir}/b.csv", line(billed="7.00"), line(claim_id=" 11"))
+    run()
+    rows = spark.read.parquet(out).collect()
+    assert sorted((r.conv_claim_id or 0, r.outcome, r.reject_reason or "") for r in rows) == [
+        (0, "rejected", "claim_id: missing"), (0, "rejected", "claim_id: missing"),
+        (1, "accepted", ""), (1, "rejected", "billed_amount: not a numeric(10,2)"),
+        (11, "accepted", ""), (11, "rejected", "claim already loaded"),
+    ]
+    assert not os.listdir(tmp_path / "_staging" / "claimspan")
+
+
+def test_late_and_undated_rows_load_once(spark, tmp_path):
+    schema = "claim_id bigint, service_date date"
+    target, control = str(tmp_path / "claims"), str(tmp_path / "watermark")
+    run = lambda source: incremental.run_incremental(spark, source, target, control, "service_date", "claim_id")
+    day = date(2026, 1, 1)
+    assert run(spark.createDataFrame([(1, day), (2, None)], schema)).loaded == 2
+    grown = spark.createDataFrame([(1, day), (2, None), (3, day), (4, None)], schema)
+    assert run(grown).loaded == 2 and run(grown).loaded == 0
+    assert sorted(r.claim_id for r in spark.read.parquet(target).collect()) == [1, 2, 3, 4]
+
+
+def test_a_failing_archive_does_not_falsify_the_log(spark, tmp_path, keys, monkeypatch):
+    path = inbound(str(tmp_path / "in" / "c.csv"), line(), line(claim_id="2", member="99"))
+    monkeypatch.setattr(etl, "archive_file", lambda *a: (_ for _ in ()).throw(RuntimeError("no archive")))
+    with pytest.raises(RuntimeError, match="no archive"):
+        load(spark, tmp_path, keys, path)
+    log = spark.read.parquet(str(tmp_path / "log")).collect()
+    assert sorted((r.status, r.rows_inserted, r.rows_rejected) for r in log) == [("Not archived", 0, 0), ("Success", 1, 1)]
+    assert not os.listdir(tmp_path / "_staging" / "claimspan")
+
+
+def test_export_rejects_delimiters_and_goes_on(spark, tmp_path):
+    from claimspan.operators import edi
+
+    df = spark.createDataFrame([("1", "A*B"), ("2", "C")], "member_id string, last_name string")
+    partners = dict.fromkeys(edi.PARTNER_KEYS, "X")
+    edi.write_834(df, str(tmp_path / "out"), ["member_id"], partners, RUN_AT, rejects=str(tmp_path / "rejects"))
+    refused = spark.read.parquet(str(tmp_path / "rejects")).collect()
+    assert [(r.member_id, r.reject_reason) for r in refused] == [("1", "last_name holds an X12 delimiter")]
+    text = "".join(p.read_text() for p in (tmp_path / "out").rglob("*.txt"))
+    assert "NM1*IL*1*C" in text and "A*B" not in text
+
+
 def test_processed_files_are_archived(spark, tmp_path):
     in_dir, archive = tmp_path / "in", tmp_path / "archive"
     for i in range(3):
@@ -275,5 +333,5 @@ def test_stream_summary_equals_batch(spark, tmp_path):
     )
     data.repartition(3).write.parquet(str(tmp_path / "in"))
     stream = streams.file_stream(spark, str(tmp_path / "in"), data.schema, file_format="parquet")
-    result = streams.run_summary(streams.stream_summary(stream), "summary_test", str(tmp_path / "checkpoint"))
+    result = streams.run_summary(streams.stream_summary(stream), str(tmp_path / "table"), str(tmp_path / "checkpoint"))
     assert sorted(map(tuple, result.collect())) == sorted(map(tuple, streams.stream_summary(data).collect()))

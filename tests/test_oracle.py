@@ -1,6 +1,7 @@
 """Every registered query against its oracle SQL, types included."""
 
 import os
+import re
 
 import pytest
 
@@ -8,10 +9,14 @@ from __spark_entry__ import entry, oracle_sql, queries
 from compare import compare, oracle
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = queries()
+QUERIES = {name: q for name, q in queries().items() if not re.match(r"op\d|pipeline", name)}
 ORACLE = oracle_sql()
 
 
+#: Planted defects that are too rare for the smallest scale: no rows on both sides.
+MAY_BE_EMPTY: set[str] = set()
+
+
 @pytest.fixture(scope="module")
 def con():
     return oracle(SF_DIR)
@@ -19,13 +24,12 @@ def con():
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_query_matches_oracle(spark, con, name):
-    # Some planted defects are too rare for the smallest scale; empty on both sides is right there.
     problem = compare(spark, con, SF_DIR, QUERIES[name], ORACLE.get(name))
-    assert problem in ("", "no rows"), problem
+    assert problem == "" or (problem == "no rows" and name in MAY_BE_EMPTY), problem
 
 
-def test_only_a_preview_has_no_oracle():
-    assert set(QUERIES) - set(ORACLE) == {"O4_preview"}
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry_has_rows(spark):

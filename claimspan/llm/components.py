@@ -11,7 +11,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Link each larger neighbour of a node with the least of the node and its neighbours."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -22,6 +22,15 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels (id, label) after links (a, b) between the labels: each label moves to the least one it is linked with.
+
+    One step only, so labels that are connected by longer chains may stay apart; equal labels are always connected.
+    """
+    least = links.groupBy(F.greatest("a", "b").alias("label")).agg(F.min(F.least("a", "b")).alias("to"))
+    return labels.join(least, "label", "left").select("id", F.coalesce("to", "label").alias("label"))
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(id, component) of each node that has an edge; ``component`` is the least id it is connected with.
 

@@ -591,7 +591,7 @@ add(
     lambda t: quality.profile(
         t.raw("lineitem").select((F.col("l_quantity").cast("decimal(9,4)") * F.lit("1.0007").cast("decimal(5,4)")).cast("decimal(9,4)").alias("rate"))
     ).select("column", "count", "mean", "min", "max"),
-    """select 'rate' as "column", count(*) as count, round(cast(sum(rate) as double) / count(*), 4) as mean,
+    """select 'rate' as "column", count(*) as count, cast(sum(rate) as double) / count(*) as mean,
               cast(min(rate) as varchar) as min, cast(max(rate) as varchar) as max
        from (select cast(cast(l_quantity as decimal(9,4)) * cast(1.0007 as decimal(5,4)) as decimal(9,4)) as rate from lineitem)""",
 )

@@ -256,6 +256,18 @@ add(
 )
 
 
+def _json_index(t):
+    """Each record's place in a file that is written in claim order, with a blank line after every record."""
+    path = scratch_dir(t.spark, "json-index")
+    record = F.concat(F.to_json(F.struct("claim_id")), F.lit("\n"))
+    t.claims.coalesce(1).sortWithinPartitions("claim_id").select(record.alias("value")).write.text(path)
+    found = readers.read_json_lines(t.spark, path)
+    return found.select(F.get_json_object("json", "$.claim_id").cast("bigint").alias("claim_id"), "record_index")
+
+
+add("Q5_record_index", _json_index, "select claim_id, row_number() over (order by claim_id) - 1 as record_index from claims")
+
+
 def _json_file(t):
     """The same records through a file: read raw lines, number them, test their keys."""
     path = scratch_dir(t.spark, "json-lines")

@@ -83,6 +83,11 @@ add(
     lambda t: reports.claim_lookup(t.claims, "7", by="member_id"),
     "select claim_id, member_id, claim_status, billed_amount from claims where member_id = 7",
 )
+add(
+    "P5_claim_lookup",
+    lambda t: reports.claim_lookup(t.claims, " 7 "),
+    "select claim_id, member_id, claim_status, billed_amount from claims where claim_id = 7",
+)
 add(
     "P6_member_claims",
     lambda t: reports.member_claims(t.claims, t.members, t.providers, 11, as_of=AS_OF, start=date(1996, 1, 1)),
@@ -112,6 +117,13 @@ add(
     """select claim_id, member_id, provider_id, service_date, billed_amount, claim_status from claims
        where billed_amount > 10000""",
 )
+add(
+    "P9_order_alert",
+    lambda t: reports.high_dollar_alert(stored_orders(t)),
+    """select o_orderkey as claim_id, o_custkey as member_id, o_shippriority as provider_id, o_orderdate as service_date,
+              o_totalprice as billed_amount, o_orderstatus as claim_status
+       from orders where o_totalprice > 10000""",
+)
 add(
     "P10_denied_missing_reason",
     lambda t: audits.denied_missing_reason(t.claims),
@@ -130,6 +142,17 @@ add(
     """select * from authorizations
        where decision = 'Pending' and decision_date is not null and units_approved is null""",
 )
+
+
+def stored_orders(t):
+    """Orders as claims whose columns are compared as they are stored, so a filter reaches the scan."""
+    names = {
+        "o_orderkey": "claim_id", "o_custkey": "member_id", "o_shippriority": "provider_id", "o_orderdate": "service_date",
+        "o_totalprice": "billed_amount", "o_orderstatus": "claim_status",
+    }
+    return t.raw("orders").select(*[F.col(old).alias(new) for old, new in names.items()])
+
+
 CATEGORY_EXAMPLE = {
     analytics.CLINICAL: ("1-URGENT",),
     analytics.AUTHORIZATION: ("2-HIGH",),

@@ -5,39 +5,6 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-MEMBERS = (
-    "member_id bigint, member_name string, date_of_birth date, gender string, plan_type string, state string,"
-    " enrollment_date date, disenroll_date date"
-)
-PROVIDERS = (
-    "provider_id bigint, npi string, provider_name string, specialty string, network_status string, tax_id string,"
-    " group_name string, effective_date date, term_date date"
-)
-PAYER = ("payer_id bigint, payer_name string")
-DIAGNOSIS = ("icd10_code string, description string, category string")
-CLAIMS = (
-    "claim_id bigint, member_id bigint, provider_id bigint, payer_id bigint, service_date date, admit_date date,"
-    " discharge_date date, diagnosis_code string, procedure_code string, billed_amount decimal(10,2),"
-    " allowed_amount decimal(10,2), paid_amount decimal(10,2), claim_status string, denial_reason string,"
-    " load_timestamp timestamp"
-)
-CONTRACTS = (
-    "contract_id bigint, provider_id bigint, contract_type string, rate_modifier decimal(5,4), start_date date,"
-    " end_date date"
-)
-AUTHORIZATIONS = (
-    "auth_id bigint, member_id bigint, provider_id bigint, auth_type string, requested_date date,"
-    " decision_date date, decision string, units_requested int, units_approved int, denial_reason string"
-)
-CLAIM_LINES = (
-    "line_id bigint, claim_id bigint, line_number int, procedure_code string, diagnosis_code string,"
-    " billed_amount decimal(10,2), allowed_amount decimal(10,2), paid_amount decimal(10,2), units int,"
-    " service_date date"
-)
-CHANGE_LOG = (
-    "log_id bigint, table_name string, operation string, record_id bigint, changed_by string,"
-    " change_date timestamp, notes string"
-)
 RUN_LOG = (
     "package_name string, run_timestamp timestamp, rows_inserted bigint, rows_rejected bigint, status string"
 )

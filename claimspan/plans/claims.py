@@ -120,7 +120,7 @@ add(
 add(
     "P9_order_alert",
     lambda t: reports.high_dollar_alert(stored_orders(t)),
-    """select o_orderkey as claim_id, o_custkey as member_id, o_shippriority as provider_id, o_orderdate as service_date,
+    """select o_orderkey as claim_id, o_custkey as member_id, o_orderpriority as provider_id, o_orderdate as service_date,
               o_totalprice as billed_amount, o_orderstatus as claim_status
        from orders where o_totalprice > 10000""",
 )
@@ -147,7 +147,7 @@ add(
 def stored_orders(t):
     """Orders as claims whose columns are compared as they are stored, so a filter reaches the scan."""
     names = {
-        "o_orderkey": "claim_id", "o_custkey": "member_id", "o_shippriority": "provider_id", "o_orderdate": "service_date",
+        "o_orderkey": "claim_id", "o_custkey": "member_id", "o_orderpriority": "provider_id", "o_orderdate": "service_date",
         "o_totalprice": "billed_amount", "o_orderstatus": "claim_status",
     }
     return t.raw("orders").select(*[F.col(old).alias(new) for old, new in names.items()])

@@ -120,7 +120,8 @@ add(
 add(
     "P9_order_alert",
     lambda t: reports.high_dollar_alert(stored_orders(t)),
-    """select o_orderkey as claim_id, o_custkey as member_id, o_orderpriority as provider_id, o_orderdate as service_date,
+    """select o_orderkey as claim_id, o_custkey as member_id, o_orderpriority as provider_id,
+              cast(o_orderdate as date) as service_date,
               o_totalprice as billed_amount, o_orderstatus as claim_status
        from orders where o_totalprice > 10000""",
 )
@@ -150,7 +151,8 @@ def stored_orders(t):
         "o_orderkey": "claim_id", "o_custkey": "member_id", "o_orderpriority": "provider_id", "o_orderdate": "service_date",
         "o_totalprice": "billed_amount", "o_orderstatus": "claim_status",
     }
-    return t.raw("orders").select(*[F.col(old).alias(new) for old, new in names.items()])
+    orders = t.raw("orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+    return orders.select(*[F.col(old).alias(new) for old, new in names.items()])
 
 
 CATEGORY_EXAMPLE = {

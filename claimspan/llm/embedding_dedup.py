@@ -30,7 +30,7 @@ from claimspan.llm.components import components
 THRESHOLD = 0.9
 SAMPLE = 20_000
 #: Vectors per cell that the number of cells aims at, and the number of cells at most.
-PER_CELL, MAX_CELLS = 40, 2048
+PER_CELL, MAX_CELLS = 200, 2048
 MARGIN = 0.15
 ROUNDS = 5
 #: Vectors on either side of a block.

@@ -14,7 +14,7 @@
 
 Edge cases: texts without words (null, empty, white space) have no shingles and link with nothing; with fewer
 words than a shingle, all words are the one shingle; rows without a doc_id are left alone and get no component;
-rows with the same doc_id count as one document that has all their links; an empty table gives an empty result.
+rows that share a doc_id are documents of their own; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,13 +26,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from claimspan.llm.common import Rolling, mix, only_documents, shingle_hashes, text_batches, written
-from claimspan.llm.components import components
+from claimspan.llm.components import components, merged
 
 SHINGLE, PERCENT = 4, 85
 #: Hash buckets of the counts that order the shingles, in blocks that travel as one row.
 COUNT_BITS, BLOCK_BITS = 20, 12
 #: Parts of the hash range that the suffix filter counts.
-PARTS = 64
+PARTS = 256
 MAX_ROUNDS = 8
 
 RECORDS = f"doc_id long, n_shingles long, d1 long, d2 long, prefix array<long>, parts array<short>"
@@ -92,7 +92,7 @@ def records(docs: DataFrame, counts: np.ndarray, size: int = SHINGLE, percent: i
                 order = np.argsort(given.value[(h & np.uint64((1 << COUNT_BITS) - 1)).astype(np.int64)], kind="stable")
                 first = len(h) - -(-percent * len(h) // 100) + 1 if len(h) else 0
                 prefix.append(h[order[:first]].view(np.int64))
-                parts.append(np.minimum(np.bincount((mix(h) >> np.uint64(58)).astype(np.int64), minlength=PARTS), 32_767).astype(np.int16))
+                parts.append(np.minimum(np.bincount((mix(h) >> np.uint64(56)).astype(np.int64), minlength=PARTS), 32_767).astype(np.int16))
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"),
@@ -112,11 +112,27 @@ def _least_overlap(n: Column, m: Column, percent: int) -> Column:
     return F.ceil(percent * (n + m) / F.lit(100 + percent))
 
 
-def _possible(a: str, b: str, percent: int) -> Column:
-    """Length and positional filter for a shingle at ``pos`` in both rare-first orders."""
-    n, m, i, j = F.col(f"{a}.n"), F.col(f"{b}.n"), F.col(f"{a}.pos"), F.col(f"{b}.pos")
-    length = 100 * F.least(n, m) >= percent * F.greatest(n, m)
-    return length & (1 + F.least(n - i - 1, m - j - 1) >= _least_overlap(n, m, percent))
+def _same_length(a: str, b: str, percent: int) -> Column:
+    """Length filter."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+
+
+def _candidates(pairs: DataFrame, a: str, b: str, percent: int) -> DataFrame:
+    """(a, b, shared) of the pairs that may reach the threshold, from one row per shingle that both prefixes hold.
+
+    Positional filter: the first common shingle stands at i and j, so the overlap is at most 1 + min(n-i-1, m-j-1).
+    Of the set whose prefix ends first in the order, only shingles behind its prefix can be common beside those
+    counted; so the overlap is at most their number plus the length of that rest.
+    """
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    reach = F.least(n - F.col(f"{a}.pos"), m - F.col(f"{b}.pos"))
+    counted = pairs.groupBy(F.col(f"{a}.doc").alias("a"), F.col(f"{b}.doc").alias("b"), n.alias("n"), m.alias("m")).agg(
+        F.count("*").alias("shared"), F.max(reach).alias("reach")
+    )
+    need = _least_overlap(F.col("n"), F.col("m"), percent)
+    rest = F.ceil(percent * F.greatest("n", "m") / F.lit(100)) - 1
+    return counted.where((F.col("reach") >= need) & (F.col("shared") + rest >= need)).select("a", "b", "shared")
 
 
 def _suffix_filter(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -157,33 +173,34 @@ def verify(pairs: DataFrame, docs: DataFrame, size: int = SHINGLE, percent: int
 
 
 def _round(shared: DataFrame, sets: DataFrame, seed: int, percent: int) -> DataFrame:
-    """Each document with the one of least hash, in another component, that it shares most prefix shingles with."""
-    rank = F.xxhash64(F.lit(seed), "doc")
-    member = F.struct(rank.alias("rank"), "doc", "n", "pos", "label")
+    """(a, b, la, lb): each document with the one of least hash, under another label, that it shares most shingles with.
+
+    A round only has to find links quickly; what it leaves out is left to ``_remaining``.
+    """
+    member = F.struct(F.xxhash64(F.lit(seed), "doc").alias("rank"), "doc", "n", "pos", "label")
     leaders = shared.groupBy("token").agg(F.min(member).alias("leader"))
     p, q = shared.alias("p"), leaders.select("token", "leader.*").alias("q")
-    pairs = p.join(q, "token").where((F.col("p.label") != F.col("q.label")) & _possible("p", "q", percent))
-    votes = pairs.groupBy(F.col("q.doc").alias("a"), F.col("p.doc").alias("b")).agg(F.count("*").alias("votes"))
-    best = _suffix_filter(votes, sets, percent).groupBy("b").agg(F.max(F.struct("votes", "a")).alias("best"))
-    return best.select("best.a", "b")
+    pairs = p.join(q, "token").where((F.col("p.label") != F.col("q.label")) & _same_length("p", "q", percent))
+    best = _candidates(pairs, "q", "p", percent).groupBy("b").agg(F.max(F.struct("shared", "a")).alias("best"))
+    return _suffix_filter(best.select("best.a", "b"), sets, percent)
 
 
-def _labelled(shared: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return shared.withColumn("label", F.col("doc"))
-    found = shared.join(labels.withColumnRenamed("id", "doc"), "doc", "left")
-    return found.select("token", "doc", "n", "pos", F.coalesce("component", "doc").alias("label"))
+def _unresolved(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of shingles that stand under several labels, with their labels."""
+    now = shared.select("token", "doc", "n", "pos").join(labels.withColumnRenamed("id", "doc"), "doc")
+    mixed = now.groupBy("token").agg((F.min("label") != F.max("label")).alias("mixed")).where("mixed").select("token")
+    return now.join(mixed, "token", "left_semi").select("token", "doc", "n", "pos", "label")
 
 
 def _open_pairs(shared: DataFrame) -> int:
-    """How many (shingle, pair) combinations are in different components."""
+    """How many (shingle, pair) combinations are under different labels."""
     by = shared.groupBy("token", "label").agg(F.count("*").alias("n")).groupBy("token")
     left = by.agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"))
     return int(left.agg(F.sum("pairs")).first()[0] or 0)
 
 
 def _remaining(shared: DataFrame, percent: int) -> DataFrame:
-    """All candidate pairs in different components. Components are paired first, so no pair inside one is built."""
+    """All candidate pairs under different labels. Labels are paired first, so no pair inside one is built."""
     groups = shared.groupBy("token", "label").count()
     apart = (
         groups.select("token", F.col("label").alias("la"))
@@ -192,8 +209,8 @@ def _remaining(shared: DataFrame, percent: int) -> DataFrame:
     )
     p = shared.select("token", F.col("label").alias("la"), F.struct("doc", "n", "pos").alias("p"))
     q = shared.select("token", F.col("label").alias("lb"), F.struct("doc", "n", "pos").alias("q"))
-    pairs = apart.join(p, ["token", "la"]).join(q, ["token", "lb"]).where(_possible("p", "q", percent))
-    return pairs.select(F.least("p.doc", "q.doc").alias("a"), F.greatest("p.doc", "q.doc").alias("b")).distinct()
+    pairs = apart.join(p, ["token", "la"]).join(q, ["token", "lb"]).where(_same_length("p", "q", percent))
+    return _candidates(pairs, "p", "q", percent).select("a", "b")
 
 
 def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -205,23 +222,23 @@ def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFr
     tokens = heads.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), F.posexplode("prefix").alias("pos", "token"))
     twice = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
     shared = written(tokens.join(twice, "token", "left_semi").select("token", "doc", "n", "pos"), "shared")
-    rows = shared.count()
-    slim = written(some.join(shared.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "n_shingles", "parts"), "parts")
+    ids = shared.select(F.col("doc").alias("id")).distinct()
+    slim = written(some.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi").select("doc_id", "n_shingles", "parts"), "parts")
 
-    links = labels = None
+    labels = written(ids.withColumn("label", F.col("id")), "labels")
+    links, rows, left = None, shared.count(), shared.withColumn("label", F.col("doc"))
     for seed in range(MAX_ROUNDS):
-        pairs = written(_round(_labelled(shared, labels), slim, seed, percent), "round")
-        found = written(verify(pairs, docs, size, percent), "links")
+        found = written(verify(written(_round(left, slim, seed, percent), "round"), docs, size, percent), "links")
         links = found if links is None else links.union(found)
-        labels = written(components(links, "components"), "labels")
-        if _open_pairs(_labelled(shared, labels)) <= 2 * rows or not found.take(1):
+        if found.take(1):
+            side = lambda x: labels.select(F.col("id").alias(x), F.col("label").alias(f"l{x}"))  # noqa: E731, B023
+            between = found.join(side("a"), "a").join(side("b"), "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
+            labels = written(merged(labels, between), "labels")
+            left = written(_unresolved(left, labels), "unresolved")
+        if not found.take(1) or _open_pairs(left) <= 4 * rows:
             break
-    rest = written(_suffix_filter(_remaining(written(_labelled(shared, labels), "labelled"), percent), slim, percent), "rest")
+    rest = written(_suffix_filter(_remaining(left, percent), slim, percent), "rest")
     links = links.union(verify(rest, docs, size, percent))
-    # Rows that share a doc_id may be in several classes; their heads are linked through it.
-    same = some.select("doc_id", "d1", "d2", "n_shingles").join(classes, ["d1", "d2", "n_shingles"]).where("doc_id <> id")
-    twins = classes.join(same.select(F.col("doc_id").alias("id")), "id", "left_semi").select(F.col("id").alias("doc_id"))
-    links = links.union(same.join(twins, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("id").alias("b")))
     groups = components(links, "components").withColumnRenamed("id", "head")
     member = sets.select("doc_id", "n_shingles", "d1", "d2").join(classes.withColumnRenamed("id", "head"), ["d1", "d2", "n_shingles"], "left")
     member = member.join(groups, "head", "left")

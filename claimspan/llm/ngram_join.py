@@ -33,7 +33,10 @@ SHINGLE, PERCENT = 4, 85
 COUNT_BITS, BLOCK_BITS = 20, 12
 #: Parts of the hash range that the suffix filter counts.
 PARTS = 256
-MAX_ROUNDS = 8
+#: Rounds of links to leaders before what is left is compared.
+ROUNDS = 2
+#: Documents under one shingle up to which their pairs are joined; larger groups are compared in blocks of BLOCK.
+SMALL_GROUP, BLOCK = 32, 1024
 
 RECORDS = f"doc_id long, n_shingles long, d1 long, d2 long, prefix array<long>, parts array<short>"
 
@@ -173,12 +176,14 @@ def verify(pairs: DataFrame, docs: DataFrame, size: int = SHINGLE, percent: int
 
 
 def _round(shared: DataFrame, sets: DataFrame, seed: int, percent: int) -> DataFrame:
-    """(a, b, la, lb): each document with the one of least hash, under another label, that it shares most shingles with.
+    """(a, b): each document with a leader, under another label, that it shares most shingles with.
 
+    A shingle's leader is the document of most common shingles in its prefix, so one with few changes of its own.
     A round only has to find links quickly; what it leaves out is left to ``_remaining``.
     """
-    member = F.struct(F.xxhash64(F.lit(seed), "doc").alias("rank"), "doc", "n", "pos", "label")
-    leaders = shared.groupBy("token").agg(F.min(member).alias("leader"))
+    member = F.struct(F.col("common").alias("rank"), F.xxhash64(F.lit(seed), "doc").alias("order"), "doc", "n", "pos", "label")
+    common = shared.groupBy("doc").agg((F.count("*") * 1000 / F.max("n")).cast("long").alias("common"))
+    leaders = shared.join(common, "doc").groupBy("token").agg(F.max(member).alias("leader"))
     p, q = shared.alias("p"), leaders.select("token", "leader.*").alias("q")
     pairs = p.join(q, "token").where((F.col("p.label") != F.col("q.label")) & _same_length("p", "q", percent))
     best = _candidates(pairs, "q", "p", percent).groupBy("b").agg(F.max(F.struct("shared", "a")).alias("best"))
@@ -192,25 +197,55 @@ def _unresolved(shared: DataFrame, labels: DataFrame) -> DataFrame:
     return now.join(mixed, "token", "left_semi").select("token", "doc", "n", "pos", "label")
 
 
-def _open_pairs(shared: DataFrame) -> int:
-    """How many (shingle, pair) combinations are under different labels."""
-    by = shared.groupBy("token", "label").agg(F.count("*").alias("n")).groupBy("token")
-    left = by.agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"))
-    return int(left.agg(F.sum("pairs")).first()[0] or 0)
+def _remaining(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all pairs under different labels that pass the filters.
 
-
-def _remaining(shared: DataFrame, percent: int) -> DataFrame:
-    """All candidate pairs under different labels. Labels are paired first, so no pair inside one is built."""
-    groups = shared.groupBy("token", "label").count()
-    apart = (
-        groups.select("token", F.col("label").alias("la"))
-        .join(groups.select("token", F.col("label").alias("lb")), "token")
-        .where("la < lb")
+    Pairs under shingles of few documents are joined and counted; groups of more documents are compared in blocks.
+    """
+    sizes = written(shared.groupBy("token").agg(F.count("*").alias("size")), "sizes")
+    few = shared.join(sizes.where(f"size <= {SMALL_GROUP}").select("token"), "token")
+    p, q = few.alias("p"), few.alias("q")
+    pairs = p.join(q, "token").where((F.col("p.label") != F.col("q.label")) & (F.col("p.doc") < F.col("q.doc")) & _same_length("p", "q", percent))
+    # Shingles of large groups are not counted here, so the overlap is bounded by position alone.
+    reach = F.least(F.col("p.n") - F.col("p.pos"), F.col("q.n") - F.col("q.pos"))
+    joined = pairs.where(reach >= _least_overlap(F.col("p.n"), F.col("q.n"), percent)).select(F.col("p.doc").alias("a"), F.col("q.doc").alias("b"))
+    joined = _suffix_filter(joined.distinct(), sets, percent)
+    return joined.union(_in_blocks(shared, sizes.where(f"size > {SMALL_GROUP}"), sets, percent)).distinct()
+
+
+def _in_blocks(shared: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The same for shingles of many documents, whose pairs would be too many rows.
+
+    The documents of a shingle are dealt into blocks, and each two blocks meet in one group, which applies the length
+    and suffix filters to all its pairs at once and gives those that pass.
+    """
+    grid = sizes.select("token", F.ceil(F.col("size") / BLOCK).cast("int").alias("k"))
+    parts = sets.select(F.col("doc_id").alias("doc"), "parts")
+    rows = shared.join(grid, "token").join(parts, "doc").withColumn("own", F.pmod(F.xxhash64("doc"), F.col("k")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")
+    dealt = rows.select("token", "doc", "n", "label", "parts", "own", other).select(
+        "token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "doc", "n", "label", "parts"
     )
-    p = shared.select("token", F.col("label").alias("la"), F.struct("doc", "n", "pos").alias("p"))
-    q = shared.select("token", F.col("label").alias("lb"), F.struct("doc", "n", "pos").alias("q"))
-    pairs = apart.join(p, ["token", "la"]).join(q, ["token", "lb"]).where(_same_length("p", "q", percent))
-    return _candidates(pairs, "p", "q", percent).select("a", "b")
+
+    def block(found: pa.Table) -> pa.Table:
+        column = lambda name: found.column(name).to_numpy()
+        doc, n, label = column("doc"), column("n"), column("label")
+        parts = found.column("parts").combine_chunks().flatten().to_numpy().reshape(-1, PARTS).astype(np.int16)
+        a, b = [], []
+        for k in range(len(doc)):
+            total = n[k] + n
+            need = -(-percent * total // (100 + percent))
+            fits = (100 * np.minimum(n[k], n) >= percent * np.maximum(n[k], n)) & (label != label[k]) & (doc > doc[k])
+            at = np.flatnonzero(fits)
+            if len(at):
+                apart = np.abs(parts[at] - parts[k]).sum(axis=1, dtype=np.int64)
+                at = at[apart <= total[at] - 2 * need[at]]
+                a.append(np.full(len(at), doc[k]))
+                b.append(doc[at])
+        join = lambda x: np.concatenate(x) if x else np.empty(0, np.int64)
+        return pa.table({"a": join(a), "b": join(b)})
+
+    return dealt.groupBy("token", "i", "j").applyInArrow(block, "a long, b long").distinct()
 
 
 def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -226,18 +261,15 @@ def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFr
     slim = written(some.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi").select("doc_id", "n_shingles", "parts"), "parts")
 
     labels = written(ids.withColumn("label", F.col("id")), "labels")
-    links, rows, left = None, shared.count(), shared.withColumn("label", F.col("doc"))
-    for seed in range(MAX_ROUNDS):
+    links, left = None, shared.withColumn("label", F.col("doc"))
+    for seed in range(ROUNDS):
         found = written(verify(written(_round(left, slim, seed, percent), "round"), docs, size, percent), "links")
         links = found if links is None else links.union(found)
-        if found.take(1):
-            side = lambda x: labels.select(F.col("id").alias(x), F.col("label").alias(f"l{x}"))  # noqa: E731, B023
-            between = found.join(side("a"), "a").join(side("b"), "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
-            labels = written(merged(labels, between), "labels")
-            left = written(_unresolved(left, labels), "unresolved")
-        if not found.take(1) or _open_pairs(left) <= 4 * rows:
-            break
-    rest = written(_suffix_filter(_remaining(left, percent), slim, percent), "rest")
+        side = lambda x: labels.select(F.col("id").alias(x), F.col("label").alias(f"l{x}"))  # noqa: E731, B023
+        between = found.join(side("a"), "a").join(side("b"), "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
+        labels = written(merged(labels, between), "labels")
+        left = written(_unresolved(left, labels), "unresolved")
+    rest = written(_remaining(left, slim, percent), "rest")
     links = links.union(verify(rest, docs, size, percent))
     groups = components(links, "components").withColumnRenamed("id", "head")
     member = sets.select("doc_id", "n_shingles", "d1", "d2").join(classes.withColumnRenamed("id", "head"), ["d1", "d2", "n_shingles"], "left")

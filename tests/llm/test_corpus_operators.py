@@ -467,9 +467,10 @@ def test_held_out_rows_are_never_learned_from(session):
 # ---------------------------------------------------------------- 10 Jaccard join
 
 
-@pytest.mark.parametrize("rounds", [1, 8])
-def test_join_equals_brute_force(session, plain, rounds, monkeypatch):
-    monkeypatch.setattr(ngram_join, "MAX_ROUNDS", rounds)
+@pytest.mark.parametrize("small, block", [(32, 1024), (1, 3)])
+def test_join_equals_brute_force(session, plain, small, block, monkeypatch):
+    monkeypatch.setattr(ngram_join, "SMALL_GROUP", small)
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
     sets = {}
     for i, t in ROWS:
         w = words_of(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))

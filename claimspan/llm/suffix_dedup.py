@@ -94,19 +94,30 @@ def occurrences(rows: DataFrame, length: int) -> DataFrame:
 
 
 class Columns:
-    """Transform, common prefixes and names of the suffixes so far, in order, in files that each round writes anew."""
+    """Transform, common prefixes and names of the suffixes so far, in order, in files that each round writes anew.
+
+    A round's files are new ones and the old ones go: a file that is cut and written again would be forced to disk
+    when it is closed, while one that goes soon never has to be.
+    """
 
     FILES = {"symbol": np.uint8, "common": np.int16, "name": np.int32}
 
     def __init__(self, folder: str):
-        self.folder = Path(folder)
+        self.folder, self.round = Path(folder), 0
+
+    def _path(self, what: str) -> Path:
+        return self.folder / f"{what}-{self.round}"
 
     def read(self, what: str) -> np.ndarray:
-        return np.fromfile(self.folder / what, self.FILES[what])
+        return np.fromfile(self._path(what), self.FILES[what])
 
     def write(self, **columns: np.ndarray) -> None:
+        old = [self._path(what) for what in columns]
+        self.round += 1
         for what, values in columns.items():
-            values.astype(self.FILES[what], copy=False).tofile(self.folder / what)
+            values.astype(self.FILES[what], copy=False).tofile(self._path(what))
+        for path in old:
+            path.unlink(missing_ok=True)
 
 
 def _common_prefix(tails: list[bytes]) -> np.ndarray:

@@ -405,6 +405,23 @@ def test_line_groups_equal_brute_force(session, plain):
     assert all(r.kept == ((r.doc_id, r.line_no) == (r.first_doc_id, r.first_line_no)) for r in rows)
 
 
+def test_lines_of_the_declared_similarity_are_found(session):
+    rng, rows, expected = random.Random(12), [], {}
+
+    def replaced(line, places):
+        return [f"new{rng.randrange(10**12)}" if k in places else w for k, w in enumerate(line)]
+
+    for n, changed in ((6, 1), (10, 1), (10, 2), (20, 1), (20, 4), (30, 1), (50, 5), (50, 10), (200, 40), (700, 140)):
+        for _ in range(8):
+            i, line = len(rows), [f"{rng.choice(WORDS)}{rng.randrange(300)}" for _ in range(n)]
+            some, too_many = rng.sample(range(n), changed), rng.sample(range(n), n // 5 + 1)
+            for x in (line, replaced(line, some), [w for k, w in enumerate(line) if k not in some], replaced(line, too_many)):
+                rows.append((len(rows), " ".join(x)))
+            expected |= {i: i, i + 1: i, i + 2: i, i + 3: i + 3}
+    frame = session.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.first_doc_id for r in line_dedup.find(frame).collect()} == expected
+
+
 def test_lines_are_taken_out_of_texts(session, nothing):
     line = "one two three four five six"
     rows = [(1, f"{line}\nshort\n{line.upper()}."), (2, f"{line}\nof its own, that line is here"), (3, None), (None, line), (4, "")]

@@ -51,12 +51,12 @@ def _sliding_least(v: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(v[: len(v) - (width - done)], v[width - done :]) if done < width else v
 
 
-def segments(data: np.ndarray, length: int, anchors: Rolling, texts: Rolling) -> tuple[np.ndarray, ...]:
+def segments(data: np.ndarray, length: int, anchors: Rolling, texts: Rolling, chunk: int = CHUNK) -> tuple[np.ndarray, ...]:
     """First window, number of windows, place and hash of the anchor, and digest, of each segment of a text."""
     core = int(length * CORE_SHARE)
     out = []
-    for at in range(0, max(0, len(data) - length + 1), CHUNK):
-        part = data[at : at + CHUNK + length - 1]
+    for at in range(0, max(0, len(data) - length + 1), chunk):
+        part = data[at : at + chunk + length - 1]
         hashes, sums = anchors.windows(anchors.sums(part), core), texts.sums(part)
         place = (_sliding_least((hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64), length - core + 1) & _PLACE).astype(np.int64)
         first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
@@ -70,13 +70,14 @@ def segments(data: np.ndarray, length: int, anchors: Rolling, texts: Rolling) ->
 OCCURRENCES = "row long, first long, n int, place long, anchor long, digest long"
 
 
-def occurrences(rows: DataFrame, length: int) -> DataFrame:
+def occurrences(rows: DataFrame, length: int, chunk: int | None = None) -> DataFrame:
     """The segments of all rows (doc_id: number of the row, text)."""
+    chunk = chunk or CHUNK  # here, not in the workers, so that a changed value reaches them
 
     def run(batches):
         anchors, texts = Rolling(7), Rolling(8)
         for batch, raw in text_batches(batches):
-            found = [segments(np.frombuffer(x, np.uint8), length, anchors, texts) for x in raw]
+            found = [segments(np.frombuffer(x, np.uint8), length, anchors, texts, chunk) for x in raw]
             n = [len(x[0]) for x in found]
             join = lambda k: np.concatenate([x[k] for x in found]) if found else np.empty(0, np.int64)  # noqa: E731, B023
             yield pa.RecordBatch.from_pydict(
@@ -269,12 +270,12 @@ def _by_digest(texts: DataFrame, length: int) -> DataFrame:
     return found.select("anchor", "digest", F.transform("at", lambda x: F.struct(x.alias("a"), (x + 1).alias("b"))).alias("ranges"))
 
 
-def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_spans(rows: DataFrame, length: int = LENGTH, chunk: int | None = None) -> DataFrame:
     """(row, spans) of the rows (doc_id: number of the row, text) that hold repeated strings.
 
     Spans are (begin, end) in bytes of the union of all repeated strings of ``length`` bytes.
     """
-    found = written(occurrences(rows, length), "segments")
+    found = written(occurrences(rows, length, chunk), "segments")
     anchors = found.groupBy("anchor").agg(F.count("*").alias("c"), (F.min("digest") != F.max("digest")).alias("several"))
     shared = written(found.join(anchors.where("c > 1").drop("c"), "anchor"), "shared")
     texts = shared.where("several").groupBy("anchor", "digest").agg(F.count("*").alias("c"), F.min(F.struct("row", "first", "place", "n")).alias("own"))
@@ -291,7 +292,8 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
                     out["digest"].append(s["digest"])
                     out["lead"].append(s["place"] - s["first"])
                     out["n"].append(s["n"])
-                    out["data"].append(text[s["first"] : s["place"] + length])
+                    # Up to the last window's end: what follows is another segment's, maybe one of the same anchor here.
+                    out["data"].append(text[s["first"] : s["first"] + s["n"] + length - 1])
             kinds = {"anchor": pa.int64(), "digest": pa.int64(), "lead": pa.int32(), "n": pa.int32(), "data": pa.binary()}
             yield pa.RecordBatch.from_pydict({k: pa.array(v, kinds[k]) for k, v in out.items()})
 
@@ -324,16 +326,16 @@ def _rows(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(F.xxhash64("doc_id", "text").alias("_row"), "doc_id", "text", *columns)
 
 
-def with_spans(docs: DataFrame, length: int = LENGTH, columns: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+def with_spans(docs: DataFrame, length: int = LENGTH, columns: tuple[str, ...] = (), chunk: int | None = None) -> tuple[DataFrame, DataFrame]:
     """The rows that surely hold no repeat, and the others with their spans (null: none)."""
     rows = _rows(docs, *columns)
-    spans = written(repeated_spans(rows.select(F.col("_row").alias("doc_id"), "text"), length), "spans")
+    spans = written(repeated_spans(rows.select(F.col("_row").alias("doc_id"), "text"), length, chunk), "spans")
     spans = spans.select(F.col("row").alias("_row"), F.col("spans").alias("_spans"))
     bits = id_filter(spans)
     return filtered(rows, "_row", bits, inside=False), filtered(rows, "_row", bits).join(spans, "_row", "left")
 
 
-def digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def digests(docs: DataFrame, length: int = LENGTH, chunk: int | None = None) -> DataFrame:
     """Per document: bytes, removed bytes, maximal removed runs and the digest of the remaining bytes."""
 
     def run(batches):
@@ -360,7 +362,7 @@ def digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             )
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    clean, touched = with_spans(docs, length)
+    clean, touched = with_spans(docs, length, chunk=chunk)
     return clean.select("doc_id", "text").mapInArrow(run, schema).union(touched.select("doc_id", "text", "_spans").mapInArrow(run, schema))
 
 

@@ -200,6 +200,20 @@ def test_every_repeated_byte_is_removed(session, docs, monkeypatch, length, boun
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows) == Counter(expected)
 
 
+@pytest.mark.parametrize("bound", [5000, 1])
+def test_texts_of_several_chunks_lose_only_what_repeats(session, monkeypatch, bound):
+    monkeypatch.setattr(suffix_dedup, "MAX_SEGMENTS", bound)
+    rng = random.Random(21)
+    unique = ["".join(rng.choice("abcdefgh") for _ in range(6000)) for _ in range(4)]
+    texts = [*unique[:3], unique[3], unique[3][700:3900] + unique[0][900:1500]]
+    frame = session.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    marks = covered([t.encode() for t in texts], 100)
+    expected = {i: int(np.sum(m)) for i, m in enumerate(marks)}
+    assert expected[1] == 0 and expected[4] > 0
+    found = {r.doc_id: r.n_removed for r in suffix_dedup.digests(frame, 100, chunk=1000).collect()}
+    assert found == expected
+
+
 def test_sorted_columns_find_windows_at_the_same_place(tmp_path):
     rng = random.Random(2)
     for _ in range(150):

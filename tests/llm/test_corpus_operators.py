@@ -436,6 +436,18 @@ def test_lines_of_the_declared_similarity_are_found(session):
     assert {r.doc_id: r.first_doc_id for r in line_dedup.find(frame).collect()} == expected
 
 
+def test_near_copies_of_very_long_lines_are_found(session):
+    rng = random.Random(13)
+    n = line_dedup.MAX_WORDS + 1500
+    line, other = ([f"{rng.choice(WORDS)}{rng.randrange(300)}" for _ in range(n)] for _ in range(2))
+    near = [f"new{k}" if k % 10 == 3 else w for k, w in enumerate(line)]
+    far = [f"own{k}" if k % 4 == 1 else w for k, w in enumerate(line)]
+    rows = [(k, " ".join(x)) for k, x in enumerate((line, near, far, other, other, line[: line_dedup.MAX_WORDS - 50]))]
+    frame = session.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.n_words, r.first_doc_id) for r in line_dedup.find(frame).collect()}
+    assert found == {0: (n, 0), 1: (n, 0), 2: (n, 2), 3: (n, 3), 4: (n, 3), 5: (line_dedup.MAX_WORDS - 50, 0)}
+
+
 def test_lines_are_taken_out_of_texts(session, nothing):
     line = "one two three four five six"
     rows = [(1, f"{line}\nshort\n{line.upper()}."), (2, f"{line}\nof its own, that line is here"), (3, None), (None, line), (4, "")]

@@ -5,9 +5,11 @@ on its own documents and gives its weights and number of words; the weights are
 shuffle, so what is gathered grows with the input and the result, the weights, has a fixed size. A document's
 score is the sum of the conditional log-probabilities of its words.
 
-Words are the ``KNOWN`` most frequent ones of the corpus, counted over all documents; any other word is one of
-``BUCKETS`` hash buckets and predicted as that bucket. A word's probability is that of its class times that of
-the word in its class, classes being runs of words of similar frequency.
+The network tells the ``KNOWN`` most frequent words of the corpus, counted over all documents, and ``BUCKETS`` hash
+buckets of the others apart; the probability of those is that of their class times that in the class, classes being
+runs of similar frequency. A word in a bucket has the bucket's probability times its own share of the bucket's words,
+count / (words of the bucket + 1), the rest being left to unseen words. The counts of all words are a table that is
+joined to the documents' words, so the vocabulary is that of the corpus.
 
 Edge cases: a null or empty text has no words, a log-likelihood of 0 and no mean; a null doc_id is scored like
 any other; repeated rows are scored (and trained on) one by one; an empty table gives an empty result.
@@ -21,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from claimspan.llm.common import _LOWER, Rolling, by_size, mix, text_batches, word_spans
+from claimspan.llm.common import _LOWER, Rolling, by_size, mix, text_batches, word_spans, written
 
 CLASSES, CLASS_SIZE = 32, 32
 SIZE = CLASSES * CLASS_SIZE
@@ -34,9 +36,6 @@ ROUNDS, RATE, STEP = 1, 0.08, 16_384
 #: Weights per row that travels, and bytes of text that are worked on at a time.
 BLOCK, BYTES = 4096, 2 << 20
 
-SCHEMA = "doc_id long, n_words long, log_likelihood double, mean_log_prob double"
-
-
 def word_hashes(texts: list[bytes], rolling: Rolling) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the lower-cased words of all texts, and the number of words of each text."""
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -47,8 +46,8 @@ def word_hashes(texts: list[bytes], rolling: Rolling) -> tuple[np.ndarray, np.nd
     return rolling.hash(rolling.sums(data), begin, end), counts
 
 
-def known_words(docs: DataFrame, known: int = KNOWN) -> tuple[np.ndarray, np.ndarray, int]:
-    """Hashes of the most frequent words, their counts, and the number of all words."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(h, n): the hash and the number of occurrences of each word of the corpus."""
 
     def run(batches):
         rolling, sums = Rolling(), {}
@@ -66,7 +65,12 @@ def known_words(docs: DataFrame, known: int = KNOWN) -> tuple[np.ndarray, np.nda
             {"h": np.array(list(sums), np.uint64).view(np.int64), "n": np.array(list(sums.values()), np.int64)}
         )
 
-    counts = docs.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+
+
+def known_words(docs: DataFrame, known: int = KNOWN, counts: DataFrame | None = None) -> tuple[np.ndarray, np.ndarray, int]:
+    """Hashes of the most frequent words, their counts, and the number of all words."""
+    counts = word_counts(docs) if counts is None else counts
     # One row that carries the total comes with the KNOWN most frequent ones.
     rows = counts.orderBy(F.desc("n"), "h").limit(known).collect()
     total = counts.agg(F.sum("n")).first()[0] or 0
@@ -229,43 +233,80 @@ def train(docs: DataFrame, vocabulary: Vocabulary, net: Network) -> Network:
     return made
 
 
-def fit(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Vocabulary, Network]:
-    hashes, counts, total = known_words(docs)
-    vocabulary, net = Vocabulary(hashes), Network.fresh(counts, total)
+def fit(docs: DataFrame, rounds: int = ROUNDS, counts: DataFrame | None = None) -> tuple[Vocabulary, Network]:
+    hashes, n, total = known_words(docs, counts=counts)
+    vocabulary, net = Vocabulary(hashes), Network.fresh(n, total)
     for _ in range(rounds):
         net = train(docs, vocabulary, net)
     return vocabulary, net
 
 
-def log_probs(texts: list[bytes], vocabulary: Vocabulary, net: Network, rolling: Rolling) -> tuple[np.ndarray, np.ndarray]:
-    """Sum of the words' conditional log-probabilities, and number of words, of each text."""
+def shares(counts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(h, share): the log-probability of each word outside the known ones, given its bucket."""
+
+    def buckets(batches):
+        for batch in batches:
+            h, n = (batch.column(c).to_numpy() for c in ("h", "n"))
+            number = vocabulary.numbers(h.view(np.uint64))
+            other = number >= KNOWN
+            yield pa.RecordBatch.from_pydict({"h": h[other], "n": n[other], "bucket": (number[other] - KNOWN).astype(np.int32)})
+
+    found = counts.select("h", "n").mapInArrow(buckets, "h long, n long, bucket int")
+    sums = {r.bucket: r.n for r in found.groupBy("bucket").agg(F.sum("n").alias("n")).collect()}  # BUCKETS rows at most
+    totals = F.array(*[F.lit(float(sums.get(k, 0) + 1)) for k in range(BUCKETS)])
+    return found.select("h", F.log(F.col("n") / F.get(totals, F.col("bucket"))).alias("share"))
+
+
+def log_probs(texts: list[bytes], vocabulary: Vocabulary, net: Network, rolling: Rolling) -> tuple[np.ndarray, ...]:
+    """Sum of the conditional log-probabilities of the words' numbers, and number of words, of each text; then the
+    words outside the known ones: numbers of different ones by text, their hashes and how often each occurs there."""
     h, counts = word_hashes(texts, rolling)
     numbers = vocabulary.numbers(h)
     around = windows(numbers, counts)
     parts = [net.forward(around[:, at : at + STEP], numbers[at : at + STEP]) for at in range(0, len(numbers), STEP)]
     sums = np.concatenate([[0.0], np.cumsum(np.concatenate([np.empty(0, np.float32), *parts]), dtype=np.float64)])
     ends = np.cumsum(counts)
-    return sums[ends] - sums[ends - counts], counts
+    other = numbers >= KNOWN
+    which, words = np.repeat(np.arange(len(texts)), counts)[other], h[other]
+    order = np.lexsort((words, which))
+    which, words = which[order], words[order]
+    first = np.flatnonzero(np.append(np.ones(min(1, len(words)), bool), (which[1:] != which[:-1]) | (words[1:] != words[:-1])))
+    times = np.diff(np.append(first, len(words)))
+    return sums[ends] - sums[ends - counts], counts, np.bincount(which[first], minlength=len(texts)), words[first].view(np.int64), times
 
 
-def score(docs: DataFrame, vocabulary: Vocabulary, net: Network) -> DataFrame:
+def score(docs: DataFrame, vocabulary: Vocabulary, net: Network, own: DataFrame | None = None) -> DataFrame:
+    """The scores by the words' numbers; with ``own``, the ``shares`` of the same corpus, by the words themselves."""
+
+    with_words = own is not None  # the workers cannot have the frame itself
+
     def run(batches):
         rolling = Rolling()
         for batch, texts in text_batches(batches):
             found = [log_probs(texts[a:b], vocabulary, net, rolling) for a, b in by_size(texts, BYTES)]
-            total = np.concatenate([np.empty(0), *(x for x, _ in found)]).round(4)
-            n = np.concatenate([np.empty(0, np.int64), *(x for _, x in found)])
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": batch.column("doc_id"),
-                    "n_words": n,
-                    "log_likelihood": total,
-                    "mean_log_prob": pa.array((total / np.maximum(n, 1)).round(6), mask=n == 0),
-                }
-            )
-
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+            join = lambda k, kind: np.concatenate([np.empty(0, kind), *(x[k] for x in found)])  # noqa: E731, B023
+            columns = {"doc_id": batch.column("doc_id"), "n_words": join(1, np.int64), "log_likelihood": join(0, np.float64)}
+            if with_words:
+                offsets = np.append(0, np.cumsum(join(2, np.int64))).astype(np.int32)
+                columns["words"] = pa.ListArray.from_arrays(offsets, pa.array(join(3, np.int64)))
+                columns["times"] = pa.ListArray.from_arrays(offsets, pa.array(join(4, np.int64).astype(np.int32)))
+            yield pa.RecordBatch.from_pydict(columns)
+
+    schema = "doc_id long, n_words long, log_likelihood double" + (", words array<long>, times array<int>" if with_words else "")
+    made = docs.select("doc_id", "text").mapInArrow(run, schema)
+    if with_words:
+        # Numbered in the files, so that both uses see the same numbers.
+        rows = written(made.withColumn("row", F.monotonically_increasing_id()), "classes")
+        each = rows.select("row", F.explode(F.arrays_zip("words", "times")).alias("x")).select("row", F.col("x.words").alias("h"), "x.times")
+        more = each.join(own, "h").groupBy("row").agg(F.sum(F.col("times") * F.col("share")).alias("more"))
+        made = rows.drop("words", "times").join(more, "row", "left")
+        made = made.withColumn("log_likelihood", F.col("log_likelihood") + F.coalesce("more", F.lit(0.0)))
+    made = made.select("doc_id", "n_words", F.round("log_likelihood", 4).alias("log_likelihood"))
+    mean = F.when(F.col("n_words") > 0, F.round(F.col("log_likelihood") / F.col("n_words"), 6))
+    return made.withColumn("mean_log_prob", mean)
 
 
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:
-    return score(docs, *fit(docs))
+    counts = written(word_counts(docs), "counts")
+    vocabulary, net = fit(docs, counts=counts)
+    return score(docs, vocabulary, net, shares(counts, vocabulary))

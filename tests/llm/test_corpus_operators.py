@@ -121,6 +121,33 @@ def test_training_raises_the_likelihood(session, docs):
     assert all((r.mean_log_prob is None) == (r.n_words == 0) and r.log_likelihood <= 0 for r in rows)
 
 
+def test_words_outside_the_known_ones_have_their_own_probability(session):
+    rng = random.Random(3)
+    common = [f"{a}{k}" for a in WORDS for k in range(60)]
+    weights = [1 / (k + 20) for k in range(len(common))]
+    texts = [" ".join(rng.choices(common, weights, k=150)) for _ in range(300)]
+    texts += [" ".join(f"zq{rng.randrange(10**12)}" for _ in range(150)), texts[0], "", None]
+    docs = session.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3).persist()
+    counts = lm_scoring.word_counts(docs).persist()
+    vocabulary, net = lm_scoring.fit(docs, counts=counts)
+    by_number = {r.doc_id: r.log_likelihood for r in lm_scoring.score(docs, vocabulary, net).collect()}
+    found = {r.doc_id: r for r in lm_scoring.score(docs, vocabulary, net, lm_scoring.shares(counts, vocabulary)).collect()}
+    numbers = {}
+    for t in texts:
+        for w in set((t or "").split()):
+            h = lm_scoring.word_hashes([w.encode()], lm_scoring.Rolling())[0]
+            numbers[w] = int(vocabulary.numbers(h)[0])
+    n, size = Counter(w for t in texts for w in (t or "").split()), Counter()
+    for w, c in n.items():
+        size[numbers[w]] += c
+    for i, t in enumerate(texts):
+        more = sum(np.log(n[w] / (size[numbers[w]] + 1)) for w in (t or "").split() if numbers[w] >= lm_scoring.KNOWN)
+        assert found[i].log_likelihood == pytest.approx(by_number[i] + more, abs=2e-3)
+    assert found[300].mean_log_prob < min(found[i].mean_log_prob for i in range(300))
+    whole = {r.doc_id: r.mean_log_prob for r in lm_scoring.pseudo_likelihood(docs).collect()}
+    assert len(whole) == len(texts) and whole[300] < min(whole[i] for i in range(300))
+
+
 def test_gradient_is_that_of_the_loss():
     rng = np.random.default_rng(1)
     net = lm_scoring.Network(rng.standard_normal(lm_scoring.Network.size()) * 0.3)

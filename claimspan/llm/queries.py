@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from claimspan.llm import bpe, embedding_dedup, line_dedup, lm_scoring, ngram_join, packing, quality_rules, substring_dedup, suffix_dedup, toxicity
+from claimspan.llm import bpe, embedding_dedup, line_dedup, lm_scoring, ngram_join, packing, quality_rules, substring_dedup, suffix_dedup, token_counts, toxicity
 from claimspan.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_line_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.find(table(spark, sf_dir, "documents"))
+
+
+@query("op11_token_counts")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

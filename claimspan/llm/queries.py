@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from claimspan.llm import bpe, embedding_dedup, line_dedup, lm_scoring, ngram_join, packing, quality_rules, substring_dedup, suffix_dedup, token_counts, toxicity
+from claimspan.llm import bpe, divergence, embedding_dedup, line_dedup, lm_scoring, ngram_join, packing, quality_rules, substring_dedup, suffix_dedup, token_counts, toxicity
 from claimspan.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,43 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_token_counts")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op12_source_divergence")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_source_divergence"] = """
+with words as (
+    select row_number() over () as d, coalesce(lang, '') as lang, coalesce(source, '') as source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as terms
+    from documents),
+found as (select d, lang, source, unnest(terms) as term from words),
+kept as (select lang, term, count(*)::hugeint as n from found group by all having count(distinct d) >= 3),
+sizes as (select lang, count(*)::hugeint as v from kept group by all),
+parts as (select distinct lang, source from words),
+counts as (
+    select p.lang, p.source, k.term, count(f.term)::hugeint as n
+    from parts p join kept k using (lang) left join found f on f.lang = p.lang and f.source = p.source and f.term = k.term group by all),
+totals as (select lang, source, sum(n)::hugeint as total from counts group by all),
+shares as (
+    select c.lang, c.source, c.term, c.n, 1 + 1000000000 * (c.n + 1) // (t.total + s.v) as p
+    from counts c join totals t using (lang, source) join sizes s using (lang)),
+whole as (
+    select k.lang, k.term, 1 + 1000000000 * (k.n + 1) // (sum(k.n) over (partition by k.lang) + s.v)::hugeint as q
+    from kept k join sizes s using (lang)),
+pairs as (
+    select a.lang, a.source, b.source as item, coalesce(sum((x.p - y.p) * (x.p - y.p) // y.p), 0) as value
+    from parts a join parts b on a.lang = b.lang and a.source <> b.source
+    left join shares x on x.lang = a.lang and x.source = a.source
+    left join shares y on y.lang = b.lang and y.source = b.source and y.term = x.term group by all),
+ranked as (
+    select lang, source, 'pair' as part, item, value, row_number() over (partition by lang, source order by value desc, item) as rank from pairs
+    union all
+    (select x.lang, x.source, 'term', x.term, (x.p - w.q) * (x.p - w.q) // w.q as value,
+            row_number() over (partition by x.lang, x.source order by value desc, x.term) as rank
+     from shares x join whole w using (lang, term) where x.n > 0 and x.p > w.q qualify rank <= 200))
+select lang, source, part, item, value::bigint as value, rank::int as rank from ranked
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from claimspan.llm import bpe, divergence, embedding_dedup, line_dedup, lm_scoring, ngram_join, packing, quality_rules, substring_dedup, suffix_dedup, token_counts, toxicity
+from claimspan.llm import bpe, conversation_trie, divergence, embedding_dedup, line_dedup, lm_scoring, ngram_join, packing, quality_rules, substring_dedup, suffix_dedup, token_counts, toxicity
 from claimspan.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,44 @@ ranked as (
      from shares x join whole w using (lang, term) where x.n > 0 and x.p > w.q qualify rank <= 200))
 select lang, source, part, item, value::bigint as value, rank::int as rank from ranked
 """
+
+
+@query("op13_conversation_trie")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.nodes(table(spark, sf_dir, "conversations"))
+
+
+# The CRC is that of zlib: reflected polynomial 0xEDB88320, one list_reduce step a byte and eight a bit.
+ORACLE["op13_conversation_trie"] = """
+with turns as (
+    select conv_id, turn, coalesce(role, '') as r, strlen(coalesce(text, '')) as size,
+           substr(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32) as digest
+    from conversations where conv_id is not null),
+own as (
+    select conv_id, list(digest order by turn nulls first, r, digest) as digests, list(size order by turn nulls first, r, digest) as sizes
+    from turns group by conv_id),
+heads as (
+    select *, xor(4294967295, list_reduce(list_transform(string_split(conv_id::varchar, ''), lambda s: ascii(s)::bigint),
+               lambda crc, byte: list_reduce([0, 1, 2, 3, 4, 5, 6, 7]::bigint[], lambda x, k: xor(x >> 1, 3988292384 * (x & 1)), xor(crc, byte)),
+               4294967295::bigint)) % 9 as h
+    from own),
+rebuilt as (
+    select c.conv_id, list_concat(coalesce(b.digests, [])[1:c.h], c.digests[c.h + 1:]) as digests,
+           list_concat(coalesce(b.sizes, [])[1:c.h], c.sizes[c.h + 1:]) as sizes
+    from heads c left join own b on b.conv_id = c.conv_id - c.conv_id % 5),
+prefixes as (
+    select conv_id, len(digests) as n, array_to_string(digests, '') as path, sizes, unnest(range(0, len(digests) + 1)) as depth from rebuilt),
+nodes as (
+    select left(path, 32 * depth) as node, depth, min(conv_id) as conv_id, count(*) as n_convs,
+           coalesce(any_value(case when depth > 0 then sizes[depth] end), 0) as size,
+           sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where n = depth), '')) as ends_sha256
+    from prefixes group by all),
+children as (select left(node, 32 * (depth - 1)) as node, count(*) as n from nodes where depth > 0 group by all),
+counted as (select n.*, coalesce(c.n, 0) as n_children from nodes n left join children c using (node)),
+upwards as (select left(node, 32 * k) as node, n_children, (n_convs - 1) * size as saved
+            from (select *, unnest(range(0, depth + 1)) as k from counted)),
+subtrees as (select node, count(*) filter (where n_children = 0) as n_leaves, sum(saved) as saved_tokens from upwards group by node)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens::bigint as saved_tokens, n.ends_sha256
+from counted n join subtrees s using (node)
+left join nodes p on n.depth > 0 and p.node = left(n.node, 32 * (n.depth - 1))
+"""

@@ -344,15 +344,18 @@ def _merge(rows: pa.Table) -> pa.Table:
 
     def close() -> None:
         node = stack.pop()
-        node["saved"] += (node["members"] - 1) * node["size"]
-        node["leaves"] = node["leaves"] if node["children"] else 1
+        # What a shard counted off its spines is already in all nodes above; only the spines' own nodes are added up.
+        node["own_saved"] += (node["members"] - 1) * node["size"]
+        node["own_leaves"] += node["children"] == 0
+        node["saved"] += node["own_saved"]
+        node["leaves"] += node["own_leaves"]
         node["parent"] = None
         for child in node.pop("below"):
             child["parent"] = node["least"]
         if stack:
             up = stack[-1]
-            up["saved"] += node["saved"]
-            up["leaves"] += node["leaves"]
+            up["own_saved"] += node["own_saved"]
+            up["own_leaves"] += node["own_leaves"]
             up["children"] += 1
             up["below"].append(node)
         done.append(node)
@@ -365,7 +368,7 @@ def _merge(rows: pa.Table) -> pa.Table:
         for d, key in enumerate(keys):
             if d == len(stack):
                 stack.append({"key": key, "depth": d, "size": sizes[d], "members": 0, "least": _NOBODY, "children": 0,
-                              "leaves": 0, "saved": 0, "ends": None, "below": []})
+                              "leaves": 0, "saved": 0, "own_leaves": 0, "own_saved": 0, "ends": None, "below": []})
             node = stack[d]
             node["members"] += members[d]
             node["least"] = min(node["least"], least[d])
@@ -397,7 +400,7 @@ def nodes(conversations: DataFrame, shard_bytes: int = SHARD) -> DataFrame:
     in_order = folded.repartitionByRange(n_shards, "path").sortWithinPartitions("path", "block")
     shards = written(in_order.select("path", "sizes", "n", "low", "ids").mapInArrow(_shard, _SHARDS), "trie-shards")
     # Two rows a shard, in one group.
-    spines = shards.where("path is not null").groupBy(F.lit(0)).applyInArrow(_merge, _SPINES)
+    spines = shards.where("path is not null").withColumn("one", F.lit(True)).groupBy("one").applyInArrow(_merge, _SPINES)
     spines = written(spines, "trie-spines")
     inner = shards.where("path is null and parent_key is null").select(*_COLUMNS)
     below = shards.where("parent_key is not null").drop("parent_conv_id")

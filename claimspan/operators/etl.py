@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from claimspan.functions.measures import normalize_status
 from claimspan.functions.ranking import dense_numbers
+from claimspan.operators import versions
 from claimspan.session import beside, remove_dir, scratch_dir
 from claimspan.sources.readers import path_exists, read_inbound_claims
 from claimspan.sources.schemas import INBOUND_COLUMNS, RUN_LOG
@@ -47,10 +47,19 @@ def append_table(df: DataFrame, name: str) -> None:
 
 
 def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
-    """Replace rows and schema: an overwriting ``saveAsTable`` drops and re-creates a Parquet table."""
+    """Replace rows and schema: an overwriting ``saveAsTable`` drops and re-creates a Parquet table.
+
+    The old rows are gone once that begins. ``replace_version`` keeps them until the new ones are complete.
+    """
     save_table(df, name, "overwrite", path)
 
 
+def replace_version(df: DataFrame, store: str, name: str = "data", partition_by: Sequence[str] = ()) -> None:
+    """Replace rows and schema of a table of a version store, in one switch behind the write."""
+    with versions.change(df.sparkSession, store) as change:
+        change.replace(name, df, partition_by)
+
+
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Target rows with the updates applied by key; of several updates to one key the latest wins.
 
@@ -62,38 +71,21 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Se
 
 
 def upsert_table(
-    spark: SparkSession, target: str, updates: DataFrame, keys: Sequence[str], order: Sequence[str] = (),
-    partition_by: Sequence[str] = (),
+    spark: SparkSession, store: str, updates: DataFrame, keys: Sequence[str], order: Sequence[str] = (),
+    partition_by: Sequence[str] = (), name: str = "data",
 ) -> None:
-    """Apply updates to the Parquet table at ``target``.
+    """Apply updates to a table of the version store at ``store``; the first ones make the table.
 
-    The updates are reduced to one row per key and staged beside the target. A partitioned table has
-    only the partitions rewritten that hold or get an updated row; the new rows are staged before
-    anything is replaced, so a run that stops can be repeated.
+    The updates are reduced to one row per key. Of a table partitioned by ``partition_by`` only the partitions that
+    hold or get an updated row are written, into new folders; the switch to the new version comes last, so a run that
+    stops at any point changes nothing and can be repeated.
     """
-    root = beside(target)
-    paths = [scratch_dir(spark, name, root) for name in ("updates", "merged")]
-    try:
-        latest_rows(updates, keys, order).write.parquet(paths[0])
-        newest, old = spark.read.parquet(paths[0]), spark.read.parquet(target)
-        if partition_by:
-            hit = old.join(newest.select(*keys), list(keys), "left_semi").select(*partition_by)
-            touched = hit.unionByName(newest.select(*partition_by)).distinct()
-            same = reduce(Column.__and__, [F.col(f"o.{c}").eqNullSafe(F.col(f"t.{c}")) for c in partition_by])
-            old = old.alias("o").join(touched.alias("t"), same, "left_semi")
-        merged = old.join(newest.select(*keys), list(keys), "left_anti").unionByName(newest).select(*newest.columns)
-        merged.write.parquet(paths[1])
-        writer = spark.read.parquet(paths[1]).write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-            gone = touched.join(spark.read.parquet(paths[1]).select(*partition_by).distinct(), list(partition_by), "left_anti")
-            emptied = [r.asDict() for r in gone.collect()]  # partitions all of whose rows moved
-        writer.parquet(target)
-        for values in emptied if partition_by else ():
-            remove_dir(spark, "/".join([target.rstrip("/"), *(f"{c}={values[c]}" for c in partition_by)]))
-    finally:
-        for path in paths:
-            remove_dir(spark, path)
+    with versions.change(spark, store) as change:
+        newest = latest_rows(updates, keys, order)
+        if name in change.tables:
+            change.merge(name, newest, keys)
+        else:
+            change.replace(name, newest, partition_by)
 
 
 # ---------------------------------------------------------------- de-duplication
@@ -436,64 +428,76 @@ def terminate_providers(
     return Termination(new_providers, new_contracts, audit, done.unionByName(failed))
 
 
+ENROLLED = ["member_id", "member_name", "date_of_birth", "gender", "plan_type", "state", "enrollment_date", "disenroll_date"]
+
+
 def run_enrollment(
     spark: SparkSession, members: str, requests: DataFrame, outcomes: str, as_of: date,
-    plan_types: Sequence[str] = PLAN_TYPES,
+    plan_types: Sequence[str] = PLAN_TYPES, ledger: str | None = None,
 ) -> None:
     """Enroll ``requests`` into the Parquet table at ``members`` and append one outcome per request.
 
-    New rows and outcomes are staged first, so both name the same ids, then appended. Requests that
-    ``outcomes`` already answers are left out: a repeated run changes nothing, and one that stopped
-    between the two appends appends the staged members again only if they are not there yet.
+    Ids are assigned in a ledger (a version store, beside ``members`` unless given) before anything is appended: its
+    table ``assigned`` keeps request, outcome and id for good, ``open`` holds the rows whose appends are not known to
+    be complete. A run first appends what an earlier one has left open and the tables lack, then assigns ids to requests
+    that the ledger does not know. So a run that stops anywhere, and is repeated or followed by another, gives each
+    request one outcome and one member. New ids are higher than those of ``members`` and of the ledger.
     """
-    root = beside(members)
-    paths = [scratch_dir(spark, name, root) for name in ("checked", "new-members")]
-    try:
-        if path_exists(spark, outcomes):
-            requests = requests.join(spark.read.parquet(outcomes).select("request_id"), "request_id", "left_anti")
-        rows, answers = enroll_members(spark.read.parquet(members), requests, as_of, plan_types)
-        answers.write.parquet(paths[0])
-        answers = spark.read.parquet(paths[0])
-        # The ids come from the staged answers: the highest member id is read once per run.
-        ids = answers.filter("return_code = 0").select("request_id", F.col("new_member_id").alias("member_id"))
-        checked = requests.withColumn("plan_type", F.trim("plan_type")).join(ids, "request_id")
-        rows = checked.select(
-            "member_id", *[c for c in rows.columns[1:6]], F.lit(as_of).alias("enrollment_date"), F.lit(None).cast("date").alias("disenroll_date")
-        )
-        rows.write.parquet(paths[1])
-        spark.read.parquet(paths[1]).write.mode("append").parquet(members)
-        answers.write.mode("append").parquet(outcomes)
-    finally:
-        for path in paths:
-            remove_dir(spark, path)
-
-
-def run_termination(
-    spark: SparkSession, providers: str, contracts: str, audit: str, requests: DataFrame, changed_at: datetime
-) -> DataFrame:
-    """Apply ``terminate_providers`` to the Parquet tables and append the change log; returns the outcomes.
-
-    All outputs are staged from one reading of the tables before any table is replaced, so they agree.
-    A repeated run with the same ``changed_at`` changes nothing and logs nothing twice.
+    ledger = ledger or f"{members.rstrip('/')}_ledger"
+    settle_enrollment(spark, members, outcomes, ledger)
+    ids = spark.read.parquet(members).select("member_id")
+    with versions.change(spark, ledger) as change:
+        if "assigned" not in change.tables and path_exists(spark, outcomes):  # answered before there was a ledger
+            change.append("assigned", spark.read.parquet(outcomes).select("request_id", "return_code", "new_member_id"))
+        if "assigned" in change.tables:
+            assigned = change.read("assigned")
+            requests = requests.join(assigned.select("request_id"), "request_id", "left_anti")
+            ids = ids.unionByName(assigned.select(F.col("new_member_id").alias("member_id")))
+        rows, answers = enroll_members(ids, requests, as_of, plan_types)
+        change.replace("open", answers.join(rows, F.col("new_member_id") == F.col("member_id"), "left").drop("member_id"))
+        change.append("assigned", change.read("open").select("request_id", "return_code", "new_member_id"))
+    settle_enrollment(spark, members, outcomes, ledger)
+
+
+def settle_enrollment(spark: SparkSession, members: str, outcomes: str, ledger: str) -> None:
+    """Append the open rows of the ledger that ``members`` and ``outcomes`` lack, then close them."""
+    state = versions.latest(spark, ledger)
+    if "open" not in state.tables:
+        return
+    waiting = versions.read(spark, ledger, "open", state)
+    if waiting.isEmpty():
+        return
+    enrolled = waiting.filter("return_code = 0").withColumn("member_id", F.col("new_member_id")).select(*ENROLLED)
+    there = spark.read.parquet(members)
+    enrolled.join(there.select("member_id"), "member_id", "left_anti").select(*[c for c in ENROLLED if c in there.columns]).write.mode("append").parquet(members)
+    answers = waiting.select("request_id", "return_code", "new_member_id", "message")
+    if path_exists(spark, outcomes):  # by its schema: a first append that stopped leaves an empty folder
+        answered = spark.read.schema(answers.schema).parquet(outcomes).select("request_id")
+        answers = answers.join(answered, "request_id", "left_anti")
+    answers.write.mode("append").parquet(outcomes)
+    with versions.change(spark, ledger) as change:
+        change.replace("open", waiting.limit(0))
+
+
+def run_termination(spark: SparkSession, store: str, requests: DataFrame, changed_at: datetime) -> DataFrame:
+    """Apply ``terminate_providers`` to the tables of a version store and log the change; returns the outcomes.
+
+    ``providers``, ``contracts``, ``change_log`` and ``outcomes`` (of this run) are tables of one store, so they switch
+    together: a run that stops at any point leaves all of them as they were. A repeated run with the same
+    ``changed_at`` changes nothing and logs nothing twice.
     """
-    root = beside(providers)
-    done = terminate_providers(spark.read.parquet(providers), spark.read.parquet(contracts).drop("ends_before_start"), requests, changed_at)
-    frames = {"providers": done.providers, "contracts": done.contracts, "audit": done.audit, "outcomes": done.outcomes}
-    paths = {name: scratch_dir(spark, name, root) for name in frames}
-    try:
-        for name, frame in frames.items():
-            frame.write.parquet(paths[name])
-        staged = {name: spark.read.parquet(path) for name, path in paths.items()}
-        log = staged["audit"]
-        if path_exists(spark, audit):
-            log = log.join(spark.read.parquet(audit).select("record_id", "change_date"), ["record_id", "change_date"], "left_anti")
-        log.select(*staged["audit"].columns).write.mode("append").parquet(audit)
-        staged["providers"].write.mode("overwrite").parquet(providers)
-        staged["contracts"].write.mode("overwrite").parquet(contracts)
-        return spark.createDataFrame(staged["outcomes"].collect(), staged["outcomes"].schema)  # one row per request
-    finally:
-        for path in paths.values():
-            remove_dir(spark, path)
+    with versions.change(spark, store) as change:
+        contracts = change.read("contracts").drop("ends_before_start")
+        done = terminate_providers(change.read("providers"), contracts, requests, changed_at)
+        log = done.audit
+        if "change_log" in change.tables:
+            logged = change.read("change_log").select("record_id", "change_date")
+            log = log.join(logged, ["record_id", "change_date"], "left_anti").select(*done.audit.columns)
+        change.append("change_log", log)
+        change.replace("outcomes", done.outcomes)
+        change.replace("providers", done.providers)
+        change.replace("contracts", done.contracts)
+    return versions.read(spark, store, "outcomes")
 
 
 def backfill_payer(claims: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from claimspan.operators import audits, etl, quality
+from claimspan.operators import audits, etl, quality, versions
 from claimspan.plans.bindings import AS_OF, CLAIM_COLUMNS, mean_sql, percent_sql
 from claimspan.plans.registry import add
 from claimspan.session import scratch_dir
@@ -147,11 +147,12 @@ add(
     ORACLE_S9,
 )
 def _upserted(t):
-    """The same through the job, over a partitioned table."""
-    path = f"{scratch_dir(t.spark, 'upsert')}/claims"
-    t.claims.write.partitionBy("claim_status").parquet(path)
-    etl.upsert_table(t.spark, path, _next_delivery(t), ["claim_id"], ["load_timestamp"], ["claim_status"])
-    return t.spark.read.parquet(path).select(*NO_TIME, load_date())
+    """The same through the job, over a partitioned table; some partition values are NULL or hold a colon."""
+    store = f"{scratch_dir(t.spark, 'upsert')}/claims"
+    day = F.when(F.col("claim_id") % 3 > 0, F.concat(F.col("claim_status"), F.lit(": "), F.col("payer_id").cast("string")))
+    etl.replace_version(t.claims.withColumn("kind", day), store, partition_by=["kind"])
+    etl.upsert_table(t.spark, store, _next_delivery(t).withColumn("kind", day), ["claim_id"], ["load_timestamp"])
+    return versions.read(t.spark, store).select(*NO_TIME, load_date())
 
 
 add("S9_upsert_table", _upserted, ORACLE_S9)
@@ -571,14 +572,15 @@ add(
 
 
 def _terminated(t):
-    """The job over written tables, run twice; contracts and log entries of each provider afterwards."""
-    base = scratch_dir(t.spark, "termination-job")
-    t.providers.write.parquet(f"{base}/providers")
-    t.contracts.write.parquet(f"{base}/contracts")
+    """The job over a version store, run twice; contracts and log entries of each provider afterwards."""
+    store = scratch_dir(t.spark, "termination-job")
+    with versions.change(t.spark, store) as change:
+        change.replace("providers", t.providers)
+        change.replace("contracts", t.contracts)
     for _ in range(2):
-        etl.run_termination(t.spark, f"{base}/providers", f"{base}/contracts", f"{base}/log", _term_requests(t), RUN_AT)
-    read = lambda name: t.spark.read.parquet(f"{base}/{name}")
-    log = read("log").groupBy(F.col("record_id").alias("provider_id")).agg(F.count("*").alias("entries"))
+        etl.run_termination(t.spark, store, _term_requests(t), RUN_AT)
+    read = lambda name: versions.read(t.spark, store, name)
+    log = read("change_log").groupBy(F.col("record_id").alias("provider_id")).agg(F.count("*").alias("entries"))
     ends = read("contracts").groupBy("provider_id").agg(F.max("end_date").alias("last_end"))
     return (
         read("providers").select("provider_id", "term_date").join(log, "provider_id", "left").join(ends, "provider_id", "left")

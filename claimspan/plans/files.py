@@ -8,7 +8,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, functions as F
 
-from claimspan.operators import edi, etl, views
+from claimspan.operators import edi, etl, versions, views
 from claimspan.plans.bindings import AS_OF, CLAIM_COLUMNS, Tables, money_sql
 from claimspan.plans.registry import add
 from claimspan.session import scratch_dir
@@ -118,6 +118,17 @@ add(
 )
 
 
+def _replaced(t: Tables) -> DataFrame:
+    """A table in a version store, whose rows and schema are replaced."""
+    store = scratch_dir(t.spark, "replace-version")
+    etl.replace_version(views.stg_claims(t.claims), store)
+    etl.replace_version(t.claims.select("claim_id", "payer_id"), store)
+    return versions.read(t.spark, store)
+
+
+add("S10_replace_version", _replaced, "select claim_id, payer_id from claims")
+
+
 def _registry(t: Tables) -> DataFrame:
     """Landed registry answers for every provider: some empty, some without a location address."""
     answers = t.raw("supplier").selectExpr(

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from claimspan.functions.measures import normalize_status
 from claimspan.functions.ranking import dense_numbers
 from claimspan.operators import versions
+from claimspan.operators.id_index import IdIndex
 from claimspan.session import beside, remove_dir, scratch_dir
 from claimspan.sources.readers import path_exists, read_inbound_claims
 from claimspan.sources.schemas import INBOUND_COLUMNS, RUN_LOG
@@ -263,7 +264,8 @@ def load_new_claims(
 ) -> LoadResult:
     """Check the file, convert, route, append, write rejects, archive and log one run.
 
-    Every source row is inserted or rejected with a reason; claim ids the target already holds and
+    Loaded ids are looked up in an index beside the target, ``<target>_ids``, of which only the buckets that the file's
+    ids fall into are opened; it is made from the target by the first run. Every source row is inserted or rejected with a reason; claim ids the target already holds and
     further rows of one id in the file are rejected too, so a repeated run inserts nothing twice.
     Classified and settled rows are staged beside the target, and counts and outputs read those
     copies, whatever happens to executors; the copies go when the run ends. Once rows are appended
@@ -288,13 +290,18 @@ def load_new_claims(
         converted = convert_claims(read_inbound_claims(spark, path))
         classified = classify_claims(converted, members, providers, "conversion_errors", "conv_")
         classified = stage(classified.withColumn("_row", F.monotonically_increasing_id()), "claims-classified")
-        loaded = spark.read.parquet(target) if path_exists(spark, target) else None
+        index = IdIndex(spark, f"{target.rstrip('/')}_ids")
+        index.recover(spark.read.parquet(target).select("claim_id") if path_exists(spark, target) else None)
+        sound = classified.filter(F.col("reject_reason").isNull()).select("conv_claim_id")
+        loaded = index.candidates(sound).withColumnRenamed("id", "claim_id")
         settled = stage(settle_claims(classified, loaded).drop("_row"), "claims-settled")
         fresh = settled.filter(F.col("reject_reason").isNull())
         rejects = settled.filter(F.col("reject_reason").isNotNull())
         counts = settled.agg(F.count("*").alias("rows"), F.count("reject_reason").alias("rejected")).first()
         write_rejects(rejects, reject_path)
+        index.begin(fresh.select("conv_claim_id"))
         typed_claims(fresh).withColumn("load_timestamp", F.lit(run_timestamp)).write.mode("append").parquet(target)
+        index.finish()
     except Exception:
         log(LoadResult(FAILED, 0, 0, 0))
         raise

@@ -123,6 +123,20 @@ def read(spark: SparkSession, store: str, name: str = "data", version: Version |
     return _frame(spark, store, version.tables[name])
 
 
+def read_parts(
+    spark: SparkSession, store: str, name: str, values: Sequence[dict[str, object]], version: Version | None = None
+) -> DataFrame:
+    """The rows in the partitions of the given values; no file of another partition is opened.
+
+    Partitions share a folder where their values share a hash, so filter by the values too where that matters.
+    """
+    table = (version or latest(spark, store)).tables[name]
+    columns = T.StructType.fromJson(json.loads(table.schema))
+    kinds = T.StructType([columns[c] for c in table.partition_by])
+    wanted = spark.createDataFrame([tuple(v[c] for c in table.partition_by) for v in values], kinds)
+    return _frame(spark, store, table, {r[0] for r in wanted.select(F.hex(F.xxhash64(*table.partition_by))).collect()})
+
+
 # ---------------------------------------------------------------- changing
 
 
@@ -144,19 +158,33 @@ class Change:
         """A table as this change has left it so far."""
         return _frame(self.spark, self.store, self.tables[name])
 
-    def _write(self, name: str, df: DataFrame, partition_by: Sequence[str]) -> dict[str, tuple[str, ...]]:
+    def _write(
+        self, name: str, df: DataFrame, partition_by: Sequence[str], options: dict[str, str] | None = None
+    ) -> dict[str, tuple[str, ...]]:
         folder = f"{self.folder}/{name}-{uuid.uuid4().hex[:6]}"
         if not partition_by:
-            df.write.parquet(f"{self.store}/{folder}")
+            df.write.options(**(options or {})).parquet(f"{self.store}/{folder}")
             return {"": (folder,)}
         part = F.hex(F.xxhash64(*partition_by))
-        df.withColumn(_PART, part).write.partitionBy(_PART).parquet(f"{self.store}/{folder}")
+        df.withColumn(_PART, part).write.options(**(options or {})).partitionBy(_PART).parquet(f"{self.store}/{folder}")
         names = [n for n in _names(self.spark, f"{self.store}/{folder}") if n.startswith(f"{_PART}=")]
         return {n.split("=", 1)[1]: (f"{folder}/{n}",) for n in names}
 
-    def replace(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
-        """New rows and a new schema in place of the table, which need not exist."""
-        self.tables[name] = Table(df.schema.json(), tuple(partition_by), self._write(name, df, partition_by))
+    def replace(
+        self, name: str, df: DataFrame, partition_by: Sequence[str] = (), options: dict[str, str] | None = None
+    ) -> None:
+        """New rows and a new schema in place of the table, which need not exist; ``options`` go to the writer."""
+        self.tables[name] = Table(df.schema.json(), tuple(partition_by), self._write(name, df, partition_by, options))
+
+    def adopt(self, name: str, source: str) -> None:
+        """The files of table ``source``, of the same schema and partitions, go over to ``name``, which need not exist."""
+        more = self.tables.pop(source)
+        old = self.tables.get(name, replace(more, parts={}))
+        parts = {p: old.parts.get(p, ()) + more.parts.get(p, ()) for p in [*old.parts, *more.parts]}
+        self.tables[name] = replace(old, parts=parts)
+
+    def drop(self, name: str) -> None:
+        self.tables.pop(name, None)
 
     def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
         """More rows; the first ones make the table."""

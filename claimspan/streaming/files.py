@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from claimspan.functions.measures import money
 from claimspan.operators.etl import classify_claims, convert_claims, settle_claims
+from claimspan.operators.id_index import IdIndex
 from claimspan.session import beside, remove_dir, scratch_dir
 from claimspan.sources.readers import INBOUND_OPTIONS, from_code_page_1252, path_exists
 from claimspan.sources.schemas import INBOUND_CLAIMS
@@ -39,27 +40,35 @@ def start_claims_ingest(
     Every row of the source gets one outcome: claims that fail conversion, have no known member or provider,
     are accepted already, or are repeated in the batch are rejected with that reason; a claim that was rejected
     can be delivered again corrected. Ids are compared after conversion with those ``target`` has accepted, so
-    nothing is forgotten. Rows are written as ``batch_id=.../outcome=...`` of one Parquet table; a batch that is
+    nothing is forgotten; they stand in an index, ``<target>_ids``, of which a batch opens only the buckets that its
+    own ids fall into. Rows are written as ``batch_id=.../outcome=...`` of one Parquet table; a batch that is
     run again after a failure replaces what it had written.
     """
     spark = raw.sparkSession
+    index = IdIndex(spark, f"{target.rstrip('/')}_ids")
 
     def settle(batch: DataFrame, batch_id: int) -> None:
         staged = scratch_dir(spark, "batch", beside(target))
         try:
             classified = classify_claims(convert_claims(batch), members, providers, "conversion_errors", "conv_")
             classified.withColumn("_row", F.monotonically_increasing_id()).write.parquet(staged)
-            loaded = None
-            if path_exists(spark, target):
+            index.resume(batch_id)
+            if path_exists(spark, target):  # written before there was an index
                 before = (F.col("outcome") == "accepted") & (F.col("batch_id") < batch_id)
-                loaded = spark.read.parquet(target).filter(before).select(F.col("conv_claim_id").alias("claim_id"))
-            settled = settle_claims(spark.read.parquet(staged), loaded).drop("_row")
+                index.recover(spark.read.parquet(target).filter(before).select("conv_claim_id"))
+            classified = spark.read.parquet(staged)
+            sound = classified.filter(F.col("reject_reason").isNull()).select("conv_claim_id")
+            loaded = index.candidates(sound).withColumnRenamed("id", "claim_id")
+            settle_claims(classified, loaded).drop("_row").write.parquet(f"{staged}-settled")
+            settled = spark.read.parquet(f"{staged}-settled")
+            index.begin(settled.filter(F.col("reject_reason").isNull()).select("conv_claim_id"), batch_id)
             outcome = F.when(F.col("reject_reason").isNull(), "accepted").otherwise("rejected")
             writer = settled.withColumn("batch_id", F.lit(batch_id).cast("long")).withColumn("outcome", outcome).write
             writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             writer.partitionBy("batch_id", "outcome").parquet(target)
         finally:
             remove_dir(spark, staged)
+            remove_dir(spark, f"{staged}-settled")
 
     return (
         raw.writeStream.foreachBatch(settle)

@@ -32,23 +32,27 @@ WORDS, TOKENS = 20_000, 400_000
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
-_ENCODE = """
+#: Squared bytes of the words in one recursive query: its rounds hold at most half as many rows.
+WORK = 8_000_000
+
+#: The leftmost pair of least rank of each word of a table, packed as rank, place and place of the second token.
+_BEST = """
+    SELECT p.word, min((m.made::bigint << 40) | (p.pos::bigint << 20) | p.after) AS best
+    FROM (SELECT word, pos, tok, lead(tok) OVER w AS next_tok, lead(pos) OVER w AS after
+          FROM {0} WINDOW w AS (PARTITION BY word ORDER BY pos)) p
+    JOIN merges m ON p.tok = m.a AND p.next_tok = m.b GROUP BY p.word
+"""
+# A round carries on the words that still have a pair; a word without one is given out in that round.
+_ENCODE = f"""
 WITH RECURSIVE step AS (
-    SELECT word, pos, tok, 0 AS round FROM start
+    SELECT s.word, s.pos, s.tok, b.best FROM start s LEFT JOIN ({_BEST.format("start")}) b USING (word)
     UNION ALL
-    SELECT t.word, t.pos, CASE WHEN t.pos = b.pos THEN b.made ELSE t.tok END, t.round + 1
-    FROM step t JOIN (
-        SELECT p.word, min(m.made) AS made, arg_min(p.pos, (m.made, p.pos)) AS pos, arg_min(p.after, (m.made, p.pos)) AS after
-        FROM (
-            SELECT word, pos, tok, lead(tok) OVER w AS next_tok, lead(pos) OVER w AS after
-            FROM step WINDOW w AS (PARTITION BY word ORDER BY pos)
-        ) p JOIN merges m ON p.tok = m.a AND p.next_tok = m.b
-        GROUP BY p.word
-    ) b ON t.word = b.word
-    WHERE t.pos <> b.after
+    (WITH now AS MATERIALIZED (
+        SELECT word, pos, CASE WHEN pos = (best >> 20) & 1048575 THEN (best >> 40)::int ELSE tok END AS tok
+        FROM step WHERE best IS NOT NULL AND pos <> best & 1048575)
+    SELECT s.word, s.pos, s.tok, b.best FROM now s LEFT JOIN ({_BEST.format("now")}) b USING (word))
 )
-SELECT word, tok FROM (SELECT word, pos, tok, round, max(round) OVER (PARTITION BY word) AS last FROM step)
-WHERE round = last ORDER BY word, pos
+SELECT word, tok FROM step WHERE best IS NULL ORDER BY word, pos
 """
 
 _DECODE = """
@@ -111,8 +115,11 @@ class Coder:
                 out[k] = self._long(w)
             else:
                 todo.append(k)
-        for at in range(0, len(todo), WORDS):
-            part = todo[at : at + WORDS]
+        todo.sort(key=lambda k: len(words[k]))  # words of one query take about as many rounds
+        sizes = np.array([len(words[k]) for k in todo], np.int64)
+        query = np.maximum(np.cumsum(sizes**2) // WORK, np.arange(len(todo)) // WORDS)
+        bounds = [0, *(np.flatnonzero(np.diff(query)) + 1).tolist(), len(todo)]
+        for part in (todo[a:b] for a, b in zip(bounds, bounds[1:]) if a < b):
             lengths = np.array([len(words[k]) for k in part])
             first = np.cumsum(lengths) - lengths
             start = pa.table(
@@ -125,9 +132,9 @@ class Coder:
             self.db.register("start", start)
             done = self.db.execute(_ENCODE).fetchnumpy()
             self.db.unregister("start")
-            ends = np.searchsorted(done["word"], np.arange(len(part)), "right")
-            for k, ids in zip(part, np.split(done["tok"], ends[:-1])):
-                out[k] = ids.tolist()
+            ends, ids = np.searchsorted(done["word"], np.arange(len(part)), "right").tolist(), done["tok"].tolist()
+            for k, a, b in zip(part, [0, *ends], ends):
+                out[k] = ids[a:b]
         return out
 
     def _long(self, word: bytes) -> list[int]:

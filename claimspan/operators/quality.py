@@ -226,3 +226,46 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 def schema_of(df: DataFrame) -> list[tuple[str, str]]:
     """Column names and types."""
     return df.dtypes
+
+
+# Quantile sketches of size K and distinct-count sketches of 2^LG registers; their stated errors are those of the
+# DataSketches library: a quantile's rank is off by at most RANK_ERROR, a distinct count by some 2 % (two deviations).
+K, LG = 400, 14
+RANK_ERROR = 0.01
+
+
+def profile_sketch(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row per numeric column: exact row and value counts and extremes, and the states of both sketches.
+
+    The states of many loads merge to those of all rows, in any order (``merged_profile``), so a profile of everything
+    reads a row per load and column. One aggregation; states fold inside each task.
+    """
+    aggregates, rows = [F.count("*").alias("_rows")], []
+    for i, name in enumerate(cols):
+        value = F.col(name).cast("double")
+        aggregates += [
+            F.count(name).alias(f"_n{i}"), F.min(value).alias(f"_min{i}"), F.max(value).alias(f"_max{i}"),
+            F.hll_sketch_agg(F.col(name).cast("string"), LG).alias(f"_hll{i}"), F.kll_sketch_agg_double(value, K).alias(f"_kll{i}"),
+        ]
+        rows.append(F.struct(
+            F.lit(name).alias("column"), F.col("_rows").alias("rows"), F.col(f"_n{i}").alias("values"),
+            F.col(f"_min{i}").alias("least"), F.col(f"_max{i}").alias("most"),
+            F.col(f"_hll{i}").alias("distinct_state"), F.col(f"_kll{i}").alias("quantile_state"),
+        ))
+    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+
+
+def merged_profile(sketches: DataFrame, probabilities: Sequence[float] = (0.25, 0.5, 0.75, 0.95)) -> DataFrame:
+    """Per column and probability: exact counts and extremes of all loads, distinct values and the quantile by sketch."""
+    merged = sketches.groupBy("column").agg(
+        F.sum("rows").alias("rows"), F.sum("values").alias("values"), F.min("least").alias("least"), F.max("most").alias("most"),
+        F.hll_sketch_estimate(F.hll_union_agg("distinct_state")).alias("distinct_values"),
+        F.kll_merge_agg_double("quantile_state").alias("_state"),
+    )
+    def quantile(p: float) -> Column:
+        value = F.when(F.col("values") > 0, F.kll_sketch_get_quantile_double("_state", F.lit(p)))
+        return F.struct(F.lit(p).alias("probability"), value.alias("quantile"))
+
+    return merged.select(
+        "column", "rows", "values", "least", "most", "distinct_values", F.inline(F.array(*[quantile(float(p)) for p in probabilities]))
+    )

@@ -183,6 +183,10 @@ class Change:
         parts = {p: old.parts.get(p, ()) + more.parts.get(p, ()) for p in [*old.parts, *more.parts]}
         self.tables[name] = replace(old, parts=parts)
 
+    def rename(self, source: str, name: str) -> None:
+        """Table ``source`` takes the place of ``name``; no file is written."""
+        self.tables[name] = self.tables.pop(source)
+
     def drop(self, name: str) -> None:
         self.tables.pop(name, None)
 

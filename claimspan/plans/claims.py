@@ -90,11 +90,11 @@ add(
 )
 add(
     "P6_member_claims",
-    lambda t: reports.member_claims(t.claims, t.members, t.providers, 11, as_of=AS_OF, start=date(1996, 1, 1)),
+    lambda t: reports.member_claims(t.claims, t.members, t.providers, 139, as_of=AS_OF, start=date(1996, 1, 1)),
     f"""select claim_id, member_name, provider_name, specialty, service_date, diagnosis_code, procedure_code,
                billed_amount, paid_amount, claim_status, denial_reason
         from claims join members using (member_id) join providers using (provider_id)
-        where member_id = 11 and service_date between date '1996-01-01' and {TODAY}""",
+        where member_id = 139 and service_date between date '1996-01-01' and {TODAY}""",
 )
 add(
     "P7_filter_claims",
@@ -188,9 +188,9 @@ add(
 )
 add(
     "P14_contracts_expiring",
-    lambda t: reports.contracts_expiring(t.contracts, AS_OF),
-    f"""select *, cast(datediff('day', {TODAY}, end_date) as int) as days_left from network_contracts
-        where end_date between {TODAY} and {TODAY} + 90""",
+    lambda t: reports.contracts_expiring(t.contracts, date(1999, 12, 1)),
+    """select *, cast(datediff('day', date '1999-12-01', end_date) as int) as days_left from network_contracts
+       where end_date between date '1999-12-01' and date '1999-12-01' + 90""",
 )
 add(
     "P15_whitespace",
@@ -269,12 +269,12 @@ for _name, _table in (("J8_near_duplicates", "claims"), ("J8_redelivered_pairs",
     )
 add(
     "J9_near_duplicates_same_provider",
-    lambda t: audits.near_duplicates(t.claims, 7, same_provider=True),
+    lambda t: audits.near_duplicates(t.claims, 90, same_provider=True),
     f"""select a.claim_id as claim_id_1, b.claim_id as claim_id_2, a.member_id, a.provider_id,
                a.service_date as service_date_1, b.service_date as service_date_2,
                cast(abs(datediff('day', a.service_date, b.service_date)) as int) as days_apart,
                a.billed_amount as billed_amount_1, b.billed_amount as billed_amount_2
-        from {NEAR} and a.provider_id = b.provider_id""",
+        from {NEAR.replace('<= 7', '<= 90')} and a.provider_id = b.provider_id""",
 )
 add(
     "J10_contract_overlaps",

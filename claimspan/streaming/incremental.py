@@ -8,7 +8,9 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from claimspan.operators import versions
 from claimspan.operators.etl import latest_rows
+from claimspan.operators.id_index import IdIndex
 from claimspan.session import beside, remove_dir, scratch_dir
 from claimspan.sources.readers import path_exists
 
@@ -97,3 +99,66 @@ def run_incremental(
     if newest is not None and newest != watermark:
         write_watermark(spark, control, newest)
     return IncrementalRun(loaded, newest, watermark)
+
+
+def day_digests(df: DataFrame, date_col: str, key: str) -> DataFrame:
+    """Rows per day and a digest of their keys that does not depend on the order; folded inside each task.
+
+    Reads two columns. The digest is a sum of hashes, so a key that is delivered twice changes it.
+    """
+    return df.groupBy(F.col(date_col).alias("day")).agg(
+        F.count("*").alias("n"), F.sum(F.xxhash64(key).cast("decimal(20,0)")).cast("decimal(38,0)").alias("digest")
+    )
+
+
+@dataclass(frozen=True)
+class LateRun:
+    loaded: int
+    days: list[date | None]
+
+
+def load_late_days(spark: SparkSession, source: DataFrame, target: str, days_store: str, date_col: str, key: str) -> LateRun:
+    """Load what has arrived for any day, however early, and read only the days that have changed.
+
+    The store at ``days_store`` keeps number and digest of the keys of each day as they were when the day was last
+    loaded into ``target``. Days whose number or digest in the source differ, and new days, are read whole; the key
+    test against the target's id index appends only what is missing. The digests are stored last, so a run that stops
+    is repeated. Rows without a date are a day of their own.
+    """
+    with versions.change(spark, days_store) as change:
+        change.replace("now", day_digests(source, date_col, key))
+        now = change.read("now")
+        if "days" in change.tables:
+            before = change.read("days").alias("b")
+            same = F.col("n.day").eqNullSafe(F.col("b.day")) & (F.col("n.n") == F.col("b.n")) & (F.col("n.digest") == F.col("b.digest"))
+            changed = now.alias("n").join(before, same, "left_anti").select("n.day")
+        else:
+            changed = now.select("day")
+        days = [r.day for r in changed.collect()]  # calendar days
+        loaded = _append_days(spark, source, target, date_col, key, days) if days else 0
+        change.rename("now", "days")
+    return LateRun(loaded, sorted(days, key=str))
+
+
+def _append_days(spark: SparkSession, source: DataFrame, target: str, date_col: str, key: str, days: list) -> int:
+    dated = [d for d in days if d is not None]
+    due = F.col(date_col).isin(dated) if dated else F.lit(False)
+    if None in days:
+        due = due | F.col(date_col).isNull()
+    index = IdIndex(spark, f"{target.rstrip('/')}_ids")
+    index.recover(spark.read.parquet(target).select(key) if path_exists(spark, target) else None)
+    staged = scratch_dir(spark, "late-days", beside(target))
+    try:
+        latest_rows(source.filter(due), [key], [date_col]).write.parquet(f"{staged}/read")
+        read = spark.read.schema(source.schema).parquet(f"{staged}/read")
+        held = index.candidates(read.select(key)).withColumnRenamed("id", key)
+        read.join(held, key, "left_anti").select(*source.columns).write.parquet(f"{staged}/fresh")
+        fresh = spark.read.schema(source.schema).parquet(f"{staged}/fresh")
+        loaded = fresh.count()
+        if loaded:
+            index.begin(fresh.select(key))
+            fresh.write.mode("append").parquet(target)
+            index.finish()
+    finally:
+        remove_dir(spark, staged)
+    return loaded

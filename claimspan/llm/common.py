@@ -26,6 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def row_code():
+    """A code of the id and text of a row: rows that share an id differ in it, equal rows do not."""
+    return F.xxhash64("doc_id", "text")
+
+
 _shipped: set[str] = set()
 
 
@@ -43,12 +48,16 @@ def ship(spark: SparkSession) -> None:
 
 #: Rows in one batch that goes to Python; some documents are very long.
 BATCH_ROWS = "1000"
+#: Characters of a plan's description that the driver keeps.
+PLAN_TEXT = "20000"
 
 
 def prepare(spark: SparkSession) -> None:
     """What the Python workers need before an operator of this subpackage runs."""
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    # Spark keeps the text of every plan it has run; those with a table of counts as a constant have megabytes.
+    spark.conf.set("spark.sql.maxPlanStringLength", PLAN_TEXT)
 
 
 def folder(spark: SparkSession, name: str) -> str:
@@ -65,14 +74,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     path = folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of ``written`` behind their last use: no result that is still to be read may depend on them."""
+    for table in tables:
+        _remove(table.sparkSession, table.written_to)
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def clear(spark: SparkSession) -> None:
     """Remove all intermediate tables of this application. No result that is still to be read may depend on them."""
-    root = folder(spark, "x").rsplit("/", 1)[0]
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _remove(spark, folder(spark, "x").rsplit("/", 1)[0])
 
 
 def text_batches(batches: Iterator[pa.RecordBatch], name: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from claimspan.llm.common import written
+from claimspan.llm.common import discard, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -43,10 +43,13 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     now = written(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct(), name)
     before = None
     while True:
-        now = written(_small_star(_large_star(now)), name)
+        last, now = now, written(_small_star(_large_star(now)), name)
+        discard(last)
         state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if state == before:
             break
         before = state
     least = now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
-    return now.select(F.col("a").alias("id"), F.col("b").alias("component")).union(least)
+    found = now.select(F.col("a").alias("id"), F.col("b").alias("component")).union(least)
+    found.written_to = now.written_to  # for ``discard``
+    return found

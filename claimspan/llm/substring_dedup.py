@@ -9,8 +9,8 @@ whose hot keys adaptive execution splits. Texts are shuffled once, to meet the r
 of documents that lose one.
 
 Edge cases: a null or empty text has no units and gives itself; units with fewer than ``min_words`` words
-are always kept; of rows with the same doc_id and place the first in the rank is kept once, as for any tie;
-rows without doc_id rank last and are left as they are; an empty table gives an empty result.
+are always kept; rows that share an id with different texts are documents of their own, equal rows one document;
+rows without doc_id are left as they are; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,12 +22,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from claimspan.llm.common import _LOWER, Rolling, word_spans, written
+from claimspan.llm.common import _LOWER, Rolling, row_code, word_spans, written
 
-MIN_WORDS = 5
+MIN_WORDS = 1
 BREAKS = {"line": re.compile(rb"\n"), "paragraph": re.compile(rb"\n[ \t\r]*(?:\n[ \t\r]*)+")}
 
-OCCURRENCES = "doc_id long, unit int, begin long, stop long, h1 long, h2 long"
+OCCURRENCES = "row long, doc_id long, unit int, begin long, stop long, h1 long, h2 long"
 
 
 def units(docs: DataFrame, by: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
@@ -40,13 +40,14 @@ def units(docs: DataFrame, by: str = "line", min_words: int = MIN_WORDS) -> Data
         rolling = [Rolling(7), Rolling(8)]
         for batch in batches:
             parts = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            for doc_id, text, row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "row"))):
                 if text:
-                    parts.append((doc_id, *unit_digests(text, by, min_words, rolling)))
+                    parts.append((doc_id, *unit_digests(text, by, min_words, rolling), row))
             n = [len(p[1]) for p in parts]
             join = lambda k, kind: np.concatenate([p[k] for p in parts]).astype(kind) if parts else np.empty(0, kind)  # noqa: E731, B023
             yield pa.RecordBatch.from_pydict(
                 {
+                    "row": pa.array(np.repeat(np.array([p[-1] for p in parts], np.int64), n)),
                     "doc_id": pa.array(np.repeat(np.array([p[0] for p in parts], np.int64), n)),
                     "unit": join(1, np.int32),
                     "begin": join(2, np.int64),
@@ -56,7 +57,7 @@ def units(docs: DataFrame, by: str = "line", min_words: int = MIN_WORDS) -> Data
                 }
             )
 
-    return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(run, OCCURRENCES)
+    return docs.where("doc_id is not null").select(row_code().alias("row"), "doc_id", "text").mapInArrow(run, OCCURRENCES)
 
 
 def unit_digests(text: str, by: str, min_words: int, rolling: list[Rolling]) -> tuple[np.ndarray, ...]:
@@ -81,18 +82,24 @@ def unit_digests(text: str, by: str, min_words: int, rolling: list[Rolling]) ->
 
 
 def repeats(found: DataFrame) -> DataFrame:
-    """(doc_id, unit, begin, stop, first_doc_id, first_unit) of each occurrence but the first of its digest."""
-    firsts = found.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "unit")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    return (
-        found.join(firsts, ["h1", "h2"])
-        .where("first <> struct(doc_id, unit)")
-        .select("doc_id", "unit", "begin", "stop", F.col("first.doc_id").alias("first_doc_id"), F.col("first.unit").alias("first_unit"))
+    """Each occurrence of a digest that occurs more than once, with the first one and whether it is that."""
+    place = F.struct("doc_id", "unit", "row")
+    firsts = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
+    return found.join(firsts, ["h1", "h2"]).select(
+        "row", "doc_id", "unit", "begin", "stop", F.col("first.doc_id").alias("first_doc_id"), F.col("first.unit").alias("first_unit"),
+        (F.col("first") == place).alias("is_first"),
     )
 
 
 def removed_spans(found: DataFrame) -> DataFrame:
-    """doc_id and spans: the removed units of each document that loses one, in order."""
-    return repeats(found).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("begin", "stop", "first_doc_id", "first_unit"))).alias("spans"))
+    """Per row that holds a repeated unit: spans (the units it loses, in order), and number, bytes and the longest of
+    its repeated units, first occurrences included."""
+    lost = F.when(~F.col("is_first"), F.struct("begin", "stop", "first_doc_id", "first_unit"))
+    size = F.col("stop") - F.col("begin")
+    return repeats(found).dropDuplicates(["row", "unit"]).groupBy("row").agg(
+        F.sort_array(F.collect_list(lost)).alias("spans"), F.count("*").alias("n_repeated_units"),
+        F.sum(size).alias("n_repeated"), F.max(size).alias("longest_repeated"),
+    )
 
 
 def without(text: str, spans: list[tuple[int, int]]) -> str:
@@ -105,24 +112,30 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join([*out, raw[at:]]).decode()
 
 
-def deduplicate(docs: DataFrame, by: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, text without the repeats, and the removed spans with their first occurrence, of each row."""
-    found = written(units(docs, by, min_words), "units")
-    spans = removed_spans(found)
+def _kept(docs: DataFrame, by: str, min_words: int) -> DataFrame:
+    """doc_id, the text without the repeats, and what ``removed_spans`` tells, of each row."""
+    spans = removed_spans(written(units(docs, by, min_words), "units"))
 
     def run(batches):
         for batch in batches:
             spans = [[(s["begin"], s["stop"]) for s in x or []] for x in batch.column("spans").to_pylist()]
             texts = [x if not s or x is None else without(x, s) for x, s in zip(batch.column("text").to_pylist(), spans)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string()), batch.column("spans")], ["doc_id", "text", "spans"])
+            yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
 
-    joined = docs.select("doc_id", "text").join(spans, "doc_id", "left")
+    rows = docs.select(F.when(F.col("doc_id").isNotNull(), row_code()).alias("row"), "doc_id", "text")
+    joined = rows.join(spans, "row", "left").drop("row")
     return joined.mapInArrow(run, joined.schema)
 
 
+def deduplicate(docs: DataFrame, by: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id, text without the repeats, and the removed spans with their first occurrence, of each row."""
+    return _kept(docs, by, min_words).select("doc_id", "text", "spans")
+
+
 def digests(docs: DataFrame, by: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
-    """Per document: bytes, removed units and bytes, their spans, and the digest of the remaining text."""
-    kept = deduplicate(docs, by, min_words)
+    """Per document: removed units and bytes, kept bytes, the removed spans, number, bytes and the longest of its
+    repeated units (those that stay included), and the digest of the remaining text."""
+    counts = ("n_repeated_units", "n_repeated", "longest_repeated")
 
     def run(batches):
         for batch in batches:
@@ -136,9 +149,9 @@ def digests(docs: DataFrame, by: str = "line", min_words: int = MIN_WORDS) -> Da
                     "n_kept": pa.array([len(t) for t in texts], pa.int64()),
                     "removed": pa.array([[[x["begin"], x["stop"], x["first_doc_id"]] for x in s] for s in spans], pa.list_(pa.list_(pa.int64()))),
                     "kept_sha256": [hashlib.sha256(t).hexdigest() for t in texts],
+                    **{c: batch.column(c).fill_null(0) for c in counts},
                 }
             )
 
-    return kept.mapInArrow(
-        run, "doc_id long, n_removed_units long, n_removed long, n_kept long, removed array<array<long>>, kept_sha256 string"
-    )
+    schema = "doc_id long, n_removed_units long, n_removed long, n_kept long, removed array<array<long>>, kept_sha256 string"
+    return _kept(docs, by, min_words).mapInArrow(run, schema + "".join(f", {c} long" for c in counts))

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from claimspan.llm.common import Rolling, filtered, id_filter, only_documents, text_batches, written
+from claimspan.llm.common import Rolling, filtered, id_filter, only_documents, row_code, text_batches, written
 
 LENGTH = 400
 #: Bytes of an anchor, by the length of a window.
@@ -323,7 +323,7 @@ def union_of(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _rows(docs: DataFrame, *columns: str) -> DataFrame:
     """The rows with a number in place of the id; equal rows have equal numbers, as they have equal repeats."""
-    return docs.select(F.xxhash64("doc_id", "text").alias("_row"), "doc_id", "text", *columns)
+    return docs.select(row_code().alias("_row"), "doc_id", "text", *columns)
 
 
 def with_spans(docs: DataFrame, length: int = LENGTH, columns: tuple[str, ...] = (), chunk: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -381,8 +381,8 @@ def remaining_text(text: bytes, spans: list[tuple[int, int]]) -> str:
 
 
 def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``docs`` with all repeated strings removed from ``text``; other columns stay as they are."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    """``docs`` with all repeated strings removed from ``text``; other columns stay as they are, whatever their names."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
 
     def run(batches):
         for batch, raw in text_batches(batches):
@@ -392,6 +392,9 @@ def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             columns = {c: pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in batch.schema.names if c not in ("_row", "_spans")}
             yield pa.RecordBatch.from_pydict(columns)
 
-    clean, touched = with_spans(docs, length, others)
+    own = [f"own_{k}" for k in range(len(others))]
+    named = docs.select("doc_id", "text", *[F.col(c).alias(n) for c, n in zip(others, own)])
+    clean, touched = with_spans(named, length, tuple(own))
     clean = clean.drop("_row")
-    return clean.union(touched.mapInArrow(run, clean.schema)).select(*docs.columns)
+    back = dict(zip(others, own))
+    return clean.union(touched.mapInArrow(run, clean.schema)).select(*[F.col(back.get(c, c)).alias(c) for c in docs.columns])

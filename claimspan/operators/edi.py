@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -219,6 +220,87 @@ def check_envelope(segments: DataFrame) -> DataFrame:
     )
 
 
+# Envelopes from the outside in, with the elements that hold control number and count.
+ENVELOPES = (("ISA", 13, "IEA"), ("GS", 6, "GE"), ("ST", 2, "SE"))
+TRAILER_CONTROL, TRAILER_COUNT = 2, 1
+
+# What can be wrong with an envelope.
+UNCLOSED = "unclosed"
+UNOPENED = "unopened"
+MISMATCH = "control numbers differ"
+CROSSED = "closed before its content"
+REPEATED = "control number repeated"
+MISCOUNTED = "count differs"
+
+
+def envelope_issues(segments: DataFrame) -> DataFrame:
+    """file, envelope, control_number and issue of each fault in the nesting of interchanges, groups and transactions.
+
+    A trailer closes the last header of its kind before it, if that is still open; a header that the next one of its
+    kind, or the end of the file, finds open is unclosed. Control numbers are compared between header and trailer, and
+    are unique inside the envelope around them; trailers of interchanges and groups tell how many envelopes they hold
+    (that of transactions counts segments, see ``check_envelope``).
+
+    Only headers and trailers are ordered: what stands open before a segment comes from a running last value inside its
+    split, and from one row per split for all splits before it, so an envelope may begin in one split and end in
+    another, and no file gathers in one task.
+    """
+    headers, trailers = [h for h, _, _ in ENVELOPES], [t for _, _, t in ENVELOPES]
+    named = F.col("segment_id")
+    place = F.lit(TRAILER_CONTROL)
+    for header, element, _ in ENVELOPES:
+        place = F.when(named == header, F.lit(element)).otherwise(place)
+    level = F.coalesce(*[F.when(named.isin(h, t), F.lit(k)) for k, (h, _, t) in enumerate(ENVELOPES)])
+    marks = segments.filter(named.isin(*headers, *trailers)).select(
+        "file", "block", "seq", level.alias("level"), named.isin(*headers).alias("opens"),
+        F.coalesce(strip(F.get("elements", place)), F.lit("")).alias("control"),
+        F.get("elements", F.lit(TRAILER_COUNT)).try_cast("bigint").alias("declared"),
+    )
+    levels = range(len(ENVELOPES))
+    state = F.struct("opens", "control", F.struct("block", "seq").alias("at"))
+    of_level = [F.when(F.col("level") == k, state) for k in levels]
+    # The last mark of each kind in a split, and in all splits before one.
+    per_split = marks.groupBy("file", "block").agg(*[F.max_by(c, F.when(c.isNotNull(), F.col("seq"))).alias(f"last{k}") for k, c in enumerate(of_level)])
+    splits_before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = per_split.select("file", "block", *[F.last(f"last{k}", ignorenulls=True).over(splits_before).alias(f"carried{k}") for k in levels])
+    marks_before = Window.partitionBy("file", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    here = [F.last(c, ignorenulls=True).over(marks_before).alias(f"here{k}") for k, c in enumerate(of_level)]
+    seen = marks.select("*", *here).join(carried, ["file", "block"]).select(
+        *marks.columns, *[F.coalesce(f"here{k}", f"carried{k}").alias(f"before{k}") for k in levels]
+    )
+
+    def by_level(pick) -> Column:
+        return F.coalesce(*[F.when(F.col("level") == k, pick(k)) for k in levels])
+
+    own = by_level(lambda k: F.col(f"before{k}"))
+    inner = F.coalesce(F.when(F.col("level") == 0, F.col("before1")), F.when(F.col("level") == 1, F.col("before2")))
+    outer = F.coalesce(F.when(F.col("level") == 1, F.col("before0")), F.when(F.col("level") == 2, F.col("before1")))
+    seen = seen.select("file", "level", "opens", "control", "declared", F.struct("block", "seq").alias("at"),
+                       own.alias("own"), inner.alias("inner"), F.when(outer["opens"], outer["at"]).alias("parent"))
+    open_own = F.coalesce(F.col("own.opens"), F.lit(False))
+    name = F.element_at(F.array(*[F.lit(h) for h in headers]), F.col("level") + 1).alias("envelope")
+
+    def found(rows: DataFrame, condition: Column, control: str, issue: str) -> DataFrame:
+        return rows.filter(condition).select("file", name, F.col(control).alias("control_number"), F.lit(issue).alias("issue"))
+
+    closes = ~F.col("opens")
+    children = seen.filter(F.col("opens") & F.col("parent").isNotNull()).groupBy("file", (F.col("level") - 1).alias("level"), F.col("parent").alias("header"))
+    closed = seen.filter(closes & open_own & (F.col("level") < len(ENVELOPES) - 1)).withColumn("header", F.col("own.at"))
+    counted = closed.join(children.agg(F.count("*").alias("held")), ["file", "level", "header"], "left")
+    repeated = seen.filter("opens").groupBy("file", "level", "parent", "control").agg(F.count("*").alias("n"))
+    at_end = marks.groupBy("file", "level").agg(F.max_by(F.struct("opens", "control"), F.struct("block", "seq")).alias("own"))
+    issues = [
+        found(seen, F.col("opens") & open_own, "own.control", UNCLOSED),
+        found(at_end, open_own, "own.control", UNCLOSED),
+        found(seen, closes & ~open_own, "control", UNOPENED),
+        found(seen, closes & open_own & (F.col("own.control") != F.col("control")), "own.control", MISMATCH),
+        found(seen, closes & open_own & F.col("inner.opens") & (F.col("inner.at") > F.col("own.at")), "own.control", CROSSED),
+        found(repeated, F.col("n") > 1, "control", REPEATED),
+        found(counted, ~F.col("declared").eqNullSafe(F.coalesce("held", F.lit(0))), "own.control", MISCOUNTED),
+    ]
+    return reduce(DataFrame.unionByName, issues)
+
+
 # ---------------------------------------------------------------- rule checks and load control
 
 
@@ -310,19 +392,21 @@ def write_outputs(decided: DataFrame, folder: str) -> dict[str, str]:
     """
     spark = decided.sparkSession
     staged = scratch_dir(spark, "enrollment", f"{folder.rstrip('/')}/_staging")
-    decided.write.parquet(staged)
-    decided = spark.read.parquet(staged)
-    loaded, rejected = route(decided)
-    columns = [*ENROLLMENT_FIELDS, "load_status", "flagged_for_review"]
-    outputs = {
-        "enrollment_loaded": loaded.select(*columns),
-        "enrollment_rejected": rejected.select(*columns),
-        "audit_log": audit_log(decided),
-    }
-    paths = {name: f"{folder.rstrip('/')}/{name}" for name in outputs}
-    for name, df in outputs.items():
-        df.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(paths[name])
-    remove_dir(spark, staged)
+    try:
+        decided.write.parquet(staged)
+        decided = spark.read.parquet(staged)
+        loaded, rejected = route(decided)
+        columns = [*ENROLLMENT_FIELDS, "load_status", "flagged_for_review"]
+        outputs = {
+            "enrollment_loaded": loaded.select(*columns),
+            "enrollment_rejected": rejected.select(*columns),
+            "audit_log": audit_log(decided),
+        }
+        paths = {name: f"{folder.rstrip('/')}/{name}" for name in outputs}
+        for name, df in outputs.items():
+            df.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(paths[name])
+    finally:
+        remove_dir(spark, staged)
     return paths
 
 
@@ -428,65 +512,67 @@ def write_834(
     if files is None:
         files = max(1, -(-members.count() // members_per_file))
     staged_path = scratch_dir(spark, "export-834", beside(path))
-    (
-        member_segments(members)
-        .repartition(files)
-        .select(
-            F.spark_partition_id().alias("file_no"),
-            F.struct(*order_by).alias("position"),
-            F.size("segments").alias("n"),
-            F.array_join("segments", f"{SEGMENT_END}\n").alias("value"),
+    try:
+        (
+            member_segments(members)
+            .repartition(files)
+            .select(
+                F.spark_partition_id().alias("file_no"),
+                F.struct(*order_by).alias("position"),
+                F.size("segments").alias("n"),
+                F.array_join("segments", f"{SEGMENT_END}\n").alias("value"),
+            )
+            .write.parquet(staged_path)
         )
-        .write.parquet(staged_path)
-    )
-    body = spark.read.parquet(staged_path)
-    # File 0 exists even for an empty batch, as a valid interchange without members.
-    first = spark.range(1).select(F.lit(0).alias("file_no"), F.lit(0).alias("n"))
-    counts = body.select("file_no", "n").unionByName(first).groupBy("file_no").agg(F.sum("n").alias("n"))
+        body = spark.read.parquet(staged_path)
+        # File 0 exists even for an empty batch, as a valid interchange without members.
+        first = spark.range(1).select(F.lit(0).alias("file_no"), F.lit(0).alias("n"))
+        counts = body.select("file_no", "n").unionByName(first).groupBy("file_no").agg(F.sum("n").alias("n"))
 
-    control = F.lpad((F.col("file_no") + control_number).cast("string"), 9, "0")
-    day, time = f"{created:%Y%m%d}", f"{created:%H%M}"
+        control = F.lpad((F.col("file_no") + control_number).cast("string"), 9, "0")
+        day, time = f"{created:%Y%m%d}", f"{created:%H%M}"
 
-    def segment(*elements: Column | str) -> Column:
-        return F.concat_ws(ELEMENT_SEPARATOR, *[e if isinstance(e, Column) else F.lit(e) for e in elements])
+        def segment(*elements: Column | str) -> Column:
+            return F.concat_ws(ELEMENT_SEPARATOR, *[e if isinstance(e, Column) else F.lit(e) for e in elements])
 
-    pad = " " * 10
-    header = F.array_join(
-        F.array(
-            segment(
-                "ISA", "00", pad, "00", pad, "ZZ", partners["sender"].ljust(15), "ZZ", partners["receiver"].ljust(15),
-                f"{created:%y%m%d}", time, "^", "00501", control, "0", "P", ":",
+        pad = " " * 10
+        header = F.array_join(
+            F.array(
+                segment(
+                    "ISA", "00", pad, "00", pad, "ZZ", partners["sender"].ljust(15), "ZZ", partners["receiver"].ljust(15),
+                    f"{created:%y%m%d}", time, "^", "00501", control, "0", "P", ":",
+                ),
+                segment("GS", "BE", partners["sender"], partners["receiver"], day, time, "1", "X", "005010X220A1"),
+                segment("ST", "834", "0001"),
+                segment("BGN", "00", control, day, time, "", "", "", "4"),
+                segment("N1", "P5", partners["payer"], "FI", partners["payer_id"]),
+                segment("N1", "IN", partners["sponsor"], "FI", partners["sponsor_id"]),
             ),
-            segment("GS", "BE", partners["sender"], partners["receiver"], day, time, "1", "X", "005010X220A1"),
-            segment("ST", "834", "0001"),
-            segment("BGN", "00", control, day, time, "", "", "", "4"),
-            segment("N1", "P5", partners["payer"], "FI", partners["payer_id"]),
-            segment("N1", "IN", partners["sponsor"], "FI", partners["sponsor_id"]),
-        ),
-        f"{SEGMENT_END}\n",
-    )
-    trailer = F.array_join(
-        F.array(
-            segment("SE", (F.col("n") + ENVELOPE_SEGMENTS).cast("string"), "0001"),
-            segment("GE", "1", "1"),
-            segment("IEA", "1", control),
-        ),
-        f"{SEGMENT_END}\n",
-    )
-    no_position = F.lit(None).cast(body.schema["position"].dataType)
-    parts = [
-        counts.select("file_no", F.lit(0).alias("part"), no_position.alias("position"), header.alias("value")),
-        body.select("file_no", F.lit(1).alias("part"), "position", "value"),
-        counts.select("file_no", F.lit(2).alias("part"), no_position.alias("position"), trailer.alias("value")),
-    ]
-    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    (
-        rows.repartitionByRange(files, "file_no")
-        .sortWithinPartitions("file_no", "part", "position")
-        .select("file_no", "value")
-        .write.mode("overwrite")
-        .partitionBy("file_no")
-        .option("lineSep", f"{SEGMENT_END}\n")
-        .text(path)
-    )
-    remove_dir(spark, staged_path)
+            f"{SEGMENT_END}\n",
+        )
+        trailer = F.array_join(
+            F.array(
+                segment("SE", (F.col("n") + ENVELOPE_SEGMENTS).cast("string"), "0001"),
+                segment("GE", "1", "1"),
+                segment("IEA", "1", control),
+            ),
+            f"{SEGMENT_END}\n",
+        )
+        no_position = F.lit(None).cast(body.schema["position"].dataType)
+        parts = [
+            counts.select("file_no", F.lit(0).alias("part"), no_position.alias("position"), header.alias("value")),
+            body.select("file_no", F.lit(1).alias("part"), "position", "value"),
+            counts.select("file_no", F.lit(2).alias("part"), no_position.alias("position"), trailer.alias("value")),
+        ]
+        rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+        (
+            rows.repartitionByRange(files, "file_no")
+            .sortWithinPartitions("file_no", "part", "position")
+            .select("file_no", "value")
+            .write.mode("overwrite")
+            .partitionBy("file_no")
+            .option("lineSep", f"{SEGMENT_END}\n")
+            .text(path)
+        )
+    finally:
+        remove_dir(spark, staged_path)

@@ -462,6 +462,40 @@ add(
 )
 
 
+#: An interchange per customer, and what is wrong with every fortieth, by the remainder of the customer's key.
+ENVELOPE_FAULTS = """
+    1 ST unclosed; 1 GS closed before its content; 2 ST control numbers differ; 3 GS unclosed; 3 ISA closed before its content;
+    4 ST unopened; 5 GS count differs; 6 ST control number repeated; 7 ISA unclosed; 8 GS control numbers differ;
+    9 GS closed before its content; 10 ISA count differs; 11 ISA control number repeated"""
+
+
+def _enveloped(t: Tables) -> str:
+    path = scratch_dir(t.spark, "envelopes")
+    rows = t.raw("customer").selectExpr("c_custkey as c", "c_custkey % 40 as fault")
+    isa, gs, st = "concat('ISA', repeat('*0', 12), '*', c)", "concat('GS', repeat('*0', 5), '*', c)", "concat('ST*834*', c)"
+    body = rows.selectExpr("c", "fault", f"""array_compact(array(
+        {isa}, {gs}, {st}, 'INS*Y*18', concat('REF*0F*', c),
+        if(fault in (1, 9), null, concat('SE*4*', if(fault = 2, c + 1, c))),
+        if(fault in (4, 6), if(fault = 6, {st}, concat('SE*4*', c)), null), if(fault = 6, concat('SE*2*', c), null),
+        if(fault = 3, null, concat('GE*', if(fault in (5, 6), 2, 1), '*', if(fault = 8, c + 1, c))),
+        if(fault = 9, concat('SE*4*', c), null),
+        if(fault = 7, null, concat('IEA*', if(fault = 10, 5, 1), '*', c)))) as segments""")
+    twice = "if(fault = 11, concat(segments, segments), segments)"
+    body.selectExpr("c", f"concat_ws('~\n', {twice}) as value").repartitionByRange(4, "c").sortWithinPartitions("c").select(
+        "value").write.option("lineSep", "~\n").text(path)
+    return path
+
+
+add(
+    "E8_envelopes",
+    lambda t: edi.envelope_issues(edi.read_segments(t.spark, _enveloped(t))).drop("file"),
+    " union all ".join(
+        f"select '{envelope}' as envelope, cast(c_custkey as varchar) as control_number, '{issue}' as issue from customer where c_custkey % 40 = {fault}"
+        for fault, envelope, issue in (f.split(maxsplit=2) for f in ENVELOPE_FAULTS.split(";"))
+    ),
+)
+
+
 def _written(t: Tables, *names: str) -> DataFrame:
     paths = edi.write_outputs(_decided(t), scratch_dir(t.spark, "outputs"))
     found = [

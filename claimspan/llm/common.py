@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 import atexit
+import gc
 import os
 from pathlib import Path
 import shutil
@@ -83,6 +84,15 @@ def discard(*tables: DataFrame) -> None:
     """Remove tables of ``written`` behind their last use: no result that is still to be read may depend on them."""
     for table in tables:
         _remove(table.sparkSession, table.written_to)
+    if tables:
+        settle(tables[0].sparkSession)
+
+
+def settle(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of the steps that are written: it does so when the driver collects their plans,
+    which by itself it may do only every half an hour."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def _remove(spark: SparkSession, folder: str) -> None:

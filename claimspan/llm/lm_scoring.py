@@ -167,9 +167,11 @@ class Network:
             back *= 1 - h * h
             gradient.bias += back.sum(axis=0)
             for k in range(len(WINDOW)):
-                order = np.argsort(contexts[k].astype(np.int16), kind="stable")
-                used, first = np.unique(contexts[k][order], return_index=True)
-                gradient.inputs[k][used] += np.add.reduceat(back[order], first, axis=0)
+                around = contexts[k].astype(np.int16)
+                order = np.argsort(around, kind="stable")
+                around = around[order]
+                first = np.flatnonzero(np.append(True, around[1:] != around[:-1]))
+                gradient.inputs[k][around[first]] += np.add.reduceat(back[order], first, axis=0)
         return out
 
 

@@ -17,6 +17,7 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass
 from itertools import product
@@ -46,6 +47,7 @@ PRIOR = {"bias": -3.0, "I": 4.0, "It": 5.0, "In": 1.5, "Ir": 1.5, "H": 1.0, "Ht"
 
 LABELS = [k for k in PRIOR if k != "bias"]
 _WORD = re.compile(r"[^\W\d_]+|[.!?;:\n]")
+_STOP = re.compile(r"[.!?;:\n]")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -174,13 +176,13 @@ class Matcher:
 
     def counts(self, text: str) -> Counter:
         text, found, done = text.lower(), Counter(), -1
+        stops = [m.start() for m in _STOP.finditer(text)]
         for last, n in self.find.iter(text):
             begin = last - n + 1
             if begin < done or (begin and text[begin - 1].isalpha()):
                 continue
-            stops = [text.rfind(c, 0, begin) for c in ".!?;:\n"]
-            ends = [e for c in ".!?;:\n" if (e := text.find(c, begin)) >= 0]
-            start, done = max(stops) + 1, min(ends, default=len(text))
+            k = bisect_left(stops, begin)
+            start, done = stops[k - 1] + 1 if k else 0, stops[k] if k < len(stops) else len(text)
             symbols = [self.lexicon.symbol(w) for w in _WORD.findall(text[start:done])]
             found.update(x for x in self.machine.run([*symbols, "."]) if x != "o" and x != ".")
         return found

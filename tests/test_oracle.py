@@ -9,8 +9,9 @@ from __spark_entry__ import entry, oracle_sql, queries
 from compare import compare, oracle
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = {name: q for name, q in queries().items() if not re.match(r"op\d|pipeline", name)}
-ORACLE = oracle_sql()
+CORPUS = re.compile(r"op\d|pipeline")  # compared in tests/llm
+QUERIES = {name: q for name, q in queries().items() if not CORPUS.match(name)}
+ORACLE = {name: sql for name, sql in oracle_sql().items() if not CORPUS.match(name)}
 
 
 #: Planted defects that are too rare for the smallest scale: no rows on both sides.

@@ -233,3 +233,12 @@ def test_find_close_matches_a_stack():
             excess = np.cumsum(np.where(np.array(bits) == 1, 1, -1)).astype(np.int32)
             opens = np.flatnonzero(np.array(bits))
             assert conversation_trie.MinMaxTree(excess, block).find_close(opens).tolist() == [want[k] for k in opens]
+
+
+@pytest.mark.parametrize("name", ["op12_source_divergence", "op13_conversation_trie"])
+def test_query_matches_oracle(session, name):
+    from __spark_entry__ import oracle_sql, queries
+    from compare import compare, oracle
+
+    sf_dir = "/root/testdata/sf0.001"
+    assert compare(session, oracle(sf_dir), sf_dir, queries()[name], oracle_sql()[name]) == ""

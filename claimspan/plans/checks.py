@@ -256,25 +256,22 @@ add(
        from claims""",
 )
 
-RANGE = "claim_id {div} 10000"
-
 
 def _json_index(t):
-    """Each record's place in its file; a file per 10,000 ids, in claim order, with a blank line after every record."""
+    """Each record's place among all claims, which are written in claim order with a blank line after every record.
+
+    The claims are written as a folder of files that follow one another, so that no task writes or numbers all of them.
+    """
     path = scratch_dir(t.spark, "json-index")
     record = F.concat(F.to_json(F.struct("claim_id")), F.lit("\n"))
-    ranges = t.claims.select(F.expr(RANGE.format(div="div")).alias("range"), "claim_id", record.alias("value"))
-    ordered = ranges.repartitionByRange("range").sortWithinPartitions("range", "claim_id")
-    ordered.select("range", "value").write.partitionBy("range").text(path)
-    found = readers.read_json_lines(t.spark, path)
+    in_order = F.col("claim_id").asc_nulls_last()
+    ordered = t.claims.select("claim_id").repartitionByRange(in_order).sortWithinPartitions(in_order)
+    ordered.select(record.alias("value")).write.text(path)
+    found = readers.index_in_folder(readers.read_json_lines(t.spark, path))
     return found.select(F.get_json_object("json", "$.claim_id").cast("bigint").alias("claim_id"), "record_index")
 
 
-add(
-    "Q5_record_index",
-    _json_index,
-    f"select claim_id, row_number() over (partition by {RANGE.format(div='//')} order by claim_id) - 1 as record_index from claims",
-)
+add("Q5_record_index", _json_index, "select claim_id, row_number() over (order by claim_id) - 1 as record_index from claims")
 
 
 def _json_file(t):

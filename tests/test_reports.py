@@ -1,6 +1,6 @@
 """Edge cases of reports, audits and quality scores on small hand-made rows."""
 
-from datetime import date
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from claimspan.functions import measures as m
 from claimspan.operators import analytics, audits, quality, reports, views, windows
+from claimspan.plans import checks  # noqa: F401  (it fills the registry)
+from claimspan.plans.registry import QUERIES
 from claimspan.sources import readers
 
 AS_OF = date(2026, 6, 30)
@@ -285,3 +287,13 @@ def test_sums_of_a_very_large_table_fit(spark):
     ranks = {r.provider_name: r.provider_rank for r in windows.provider_rank(wide, providers).collect()}
     assert ranks == {"P2": 1, "P1": 2, "P0": 3}
     assert claims.agg(m.amount_percent(total, total * 2)).first()[0] == Decimal("50.00")
+
+
+def test_record_index_counts_on_through_all_claims(spark, tmp_path, conf):
+    conf(spark__sql__adaptive__enabled="false")  # several files
+    ids = [*range(9_000, 31_000, 7), 12_345_678, None]
+    rows = [(i, 1, "F", 1.0, datetime(1999, 1, 1), "1-URGENT") for i in ids[::-1]]
+    columns = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
+    spark.createDataFrame(rows, columns).repartition(3).write.parquet(str(tmp_path / "orders.parquet"))
+    got = QUERIES["Q5_record_index"](spark, str(tmp_path)).collect()
+    assert {r.claim_id: r.record_index for r in got} == {i: n for n, i in enumerate(ids)}

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -220,34 +221,54 @@ def typed_claims(classified: DataFrame) -> DataFrame:
     )
 
 
-def settle_claims(classified: DataFrame, loaded_ids: DataFrame | None) -> DataFrame:
-    """``classified`` with a reject reason for claims that are loaded already or repeated in the batch.
+def key_claims(rows: DataFrame, members: DataFrame, providers: DataFrame) -> DataFrame:
+    """_row, conv_claim_id and reject_reason of inbound ``rows``: converted and classified, by their keys only.
 
-    ``classified`` needs a column ``_row`` with a different number in each row, and must be staged: it is read
-    several times. Only the ids of ``loaded_ids`` (column claim_id) that the batch holds are joined back to it, so
-    the ids of the target are shuffled once. Of the rows of one id the latest stays.
+    So the lookups shuffle a few numbers a row, and no claim texts.
     """
-    sound = classified.filter(F.col("reject_reason").isNull())
+    keys = convert_claims(rows).select("_row", *[f"conv_{c}" for c in ID_COLUMNS], "conversion_errors")
+    return classify_claims(keys, members, providers, "conversion_errors", "conv_").select(
+        "_row", "conv_claim_id", "reject_reason"
+    )
+
+
+def settle_claims(
+    rows: DataFrame, classified: DataFrame, loaded_ids: DataFrame | None, stage: Callable[[DataFrame, str], DataFrame]
+) -> DataFrame:
+    """Inbound ``rows`` with a ``reject_reason``, also for claims that are loaded already or repeated in the batch.
+
+    ``rows`` need a column ``_row`` with a different number in each row, and ``classified`` is their ``key_claims``; both
+    must be staged, as they are read several times. ``stage`` writes a frame under a name and reads it again. Of the
+    rows of one id the latest stays.
+
+    Reasons are found by row number and id alone, and only of ids that repeat whole rows are compared. Rejected rows
+    take no part in that, so that rows without an id gather nowhere. Ids, row numbers and reasons are staged: where
+    they are few, Spark knows it and sends them to the rows instead of shuffling these.
+    """
+    refused = classified.filter(F.col("reject_reason").isNotNull()).select("_row", "reject_reason")
+    sound = classified.filter(F.col("reject_reason").isNull()).select("_row", "conv_claim_id")
+    ids = sound.groupBy("conv_claim_id").agg(F.count("*").alias("_n"))
     if loaded_ids is not None:
-        held = loaded_ids.select(F.col("claim_id").alias("conv_claim_id")).join(
-            sound.select("conv_claim_id").distinct(), "conv_claim_id", "left_semi"
-        )
-        known = held.distinct().withColumn("_known", F.lit(True))
+        known = loaded_ids.select(F.col("claim_id").alias("conv_claim_id")).distinct().withColumn("_known", F.lit(True))
+        ids = ids.join(known, "conv_claim_id", "left")
     else:
-        known = sound.select("conv_claim_id", F.lit(True).alias("_known")).limit(0)
-    marked = classified.join(known, "conv_claim_id", "left").withColumn(
-        "reject_reason", F.coalesce("reject_reason", F.when(F.col("_known"), F.lit(ALREADY_LOADED)))
-    )
-    rest = [c for c in classified.columns if c not in ("conv_claim_id", "conv_service_date", "reject_reason", "_row")]
+        ids = ids.withColumn("_known", F.lit(None).cast("boolean"))
+    ids = stage(ids.filter("_known or _n > 1").select("conv_claim_id", "_known"), "claims-ids")
+    marked = sound.join(ids, "conv_claim_id")
+    several = stage(marked.filter("_known is null").select("_row"), "claims-several")
+    reasons = [refused, marked.filter("_known").select("_row", F.lit(ALREADY_LOADED).alias("reject_reason"))]
+    compared = convert_claims(rows.join(several, "_row", "left_semi"))
+    rest = [c for c in compared.columns if c not in ("conv_claim_id", "conv_service_date", "_row")]
     newest = F.max(F.struct("conv_service_date", *rest, "_row")).alias("_best")
-    best = marked.filter(F.col("reject_reason").isNull()).groupBy("conv_claim_id").agg(newest)
-    best = best.select(F.col("_best._row").alias("_row"), F.lit(True).alias("_first"))
-    repeated = F.when(F.col("_first").isNull(), F.lit(REPEATED))
-    return (
-        marked.join(best, "_row", "left")
-        .withColumn("reject_reason", F.coalesce("reject_reason", repeated))
-        .select(*classified.columns)
-    )
+    best = compared.groupBy("conv_claim_id").agg(newest).select("_best._row")
+    reasons.append(several.join(best, "_row", "left_anti").select("_row", F.lit(REPEATED).alias("reject_reason")))
+    return rows.join(stage(reduce(DataFrame.unionByName, reasons), "claims-reasons"), "_row", "left")
+
+
+def settled_claims(settled: DataFrame) -> DataFrame:
+    """The rows of ``settle_claims`` converted, with ``reject_reason`` last."""
+    converted = convert_claims(settled)
+    return converted.select(*[c for c in converted.columns if c != "reject_reason"], "reject_reason")
 
 
 def load_new_claims(
@@ -267,7 +288,7 @@ def load_new_claims(
     Loaded ids are looked up in an index beside the target, ``<target>_ids``, of which only the buckets that the file's
     ids fall into are opened; it is made from the target by the first run. Every source row is inserted or rejected with a reason; claim ids the target already holds and
     further rows of one id in the file are rejected too, so a repeated run inserts nothing twice.
-    Classified and settled rows are staged beside the target, and counts and outputs read those
+    Read, classified and settled rows are staged beside the target, and counts and outputs read those
     copies, whatever happens to executors; the copies go when the run ends. Once rows are appended
     the log says so, also if the file cannot be archived: that gets a line of its own.
     """
@@ -282,19 +303,18 @@ def load_new_claims(
     def stage(df: DataFrame, name: str) -> DataFrame:
         staged.append(scratch_dir(spark, name, root))
         df.write.parquet(staged[-1])
-        return spark.read.parquet(staged[-1])
+        return spark.read.schema(df.schema).parquet(staged[-1])
 
     if not path_exists(spark, path):
         return log(LoadResult(NO_FILE, 0, 0, 0))
     try:
-        converted = convert_claims(read_inbound_claims(spark, path))
-        classified = classify_claims(converted, members, providers, "conversion_errors", "conv_")
-        classified = stage(classified.withColumn("_row", F.monotonically_increasing_id()), "claims-classified")
+        rows = stage(read_inbound_claims(spark, path).withColumn("_row", F.monotonically_increasing_id()), "claims-read")
+        classified = stage(key_claims(rows, members, providers), "claims-classified")
         index = IdIndex(spark, f"{target.rstrip('/')}_ids")
         index.recover(spark.read.parquet(target).select("claim_id") if path_exists(spark, target) else None)
         sound = classified.filter(F.col("reject_reason").isNull()).select("conv_claim_id")
         loaded = index.candidates(sound).withColumnRenamed("id", "claim_id")
-        settled = stage(settle_claims(classified, loaded).drop("_row"), "claims-settled")
+        settled = settled_claims(stage(settle_claims(rows, classified, loaded, stage).drop("_row"), "claims-settled"))
         fresh = settled.filter(F.col("reject_reason").isNull())
         rejects = settled.filter(F.col("reject_reason").isNotNull())
         counts = settled.agg(F.count("*").alias("rows"), F.count("reject_reason").alias("rejected")).first()

@@ -36,11 +36,14 @@ class IdIndex:
     def __init__(self, spark: SparkSession, store: str, buckets: int = BUCKETS):
         self.spark, self.store, self.buckets = spark, store.rstrip("/"), buckets
 
+    def _bucketed(self, ids: DataFrame) -> DataFrame:
+        """The ids of the first column with their buckets."""
+        rows = ids.select(F.col(ids.columns[0]).alias("id")).where("id is not null")
+        return rows.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(self.buckets)).cast("int"))
+
     def _rows(self, ids: DataFrame) -> DataFrame:
         """Distinct ids of the first column with their buckets, one sorted file a bucket."""
-        rows = ids.select(F.col(ids.columns[0]).alias("id")).where("id is not null").distinct()
-        rows = rows.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(self.buckets)).cast("int"))
-        return rows.repartition("bucket").sortWithinPartitions("bucket", "id")
+        return self._bucketed(ids).repartition("bucket").distinct().sortWithinPartitions("bucket", "id")
 
     def _state(self) -> tuple[bool, str | None]:
         """Whether there are ids, and the name of the table of announced ones."""
@@ -55,12 +58,12 @@ class IdIndex:
     def candidates(self, ids: DataFrame) -> DataFrame:
         """``id`` of the buckets that some of ``ids`` fall into; with few ids only those that are equal to one."""
         state = versions.latest(self.spark, self.store)
-        rows = self._rows(ids)
+        rows = self._bucketed(ids)
         if "ids" not in state.tables:
             return rows.select("id").limit(0)
         hit = [r.bucket for r in rows.select("bucket").distinct().collect()]  # as many rows as there are buckets
         found = versions.read_parts(self.spark, self.store, "ids", [{"bucket": b} for b in hit], state).select("id")
-        few = [r.id for r in rows.select("id").limit(BY_VALUE + 1).collect()]
+        few = [r.id for r in rows.select("id").distinct().limit(BY_VALUE + 1).collect()]
         return found.where(reduce(Column.__or__, [F.col("id") == i for i in few])) if 0 < len(few) <= BY_VALUE else found
 
     def held(self, ids: DataFrame) -> DataFrame:

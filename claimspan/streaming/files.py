@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from claimspan.functions.measures import money
-from claimspan.operators.etl import classify_claims, convert_claims, settle_claims
+from claimspan.operators.etl import key_claims, settle_claims, settled_claims
 from claimspan.operators.id_index import IdIndex
 from claimspan.session import beside, remove_dir, scratch_dir
 from claimspan.sources.readers import INBOUND_OPTIONS, from_code_page_1252, path_exists
@@ -48,27 +48,31 @@ def start_claims_ingest(
     index = IdIndex(spark, f"{target.rstrip('/')}_ids")
 
     def settle(batch: DataFrame, batch_id: int) -> None:
-        staged = scratch_dir(spark, "batch", beside(target))
+        staged: list[str] = []
+
+        def stage(df: DataFrame, name: str) -> DataFrame:
+            staged.append(scratch_dir(spark, name, beside(target)))
+            df.write.parquet(staged[-1])
+            return spark.read.schema(df.schema).parquet(staged[-1])
+
         try:
-            classified = classify_claims(convert_claims(batch), members, providers, "conversion_errors", "conv_")
-            classified.withColumn("_row", F.monotonically_increasing_id()).write.parquet(staged)
+            rows = stage(batch.withColumn("_row", F.monotonically_increasing_id()), "batch")
+            classified = stage(key_claims(rows, members, providers), "batch-classified")
             index.resume(batch_id)
             if path_exists(spark, target):  # written before there was an index
                 before = (F.col("outcome") == "accepted") & (F.col("batch_id") < batch_id)
                 index.recover(spark.read.parquet(target).filter(before).select("conv_claim_id"))
-            classified = spark.read.parquet(staged)
             sound = classified.filter(F.col("reject_reason").isNull()).select("conv_claim_id")
             loaded = index.candidates(sound).withColumnRenamed("id", "claim_id")
-            settle_claims(classified, loaded).drop("_row").write.parquet(f"{staged}-settled")
-            settled = spark.read.parquet(f"{staged}-settled")
+            settled = settled_claims(stage(settle_claims(rows, classified, loaded, stage).drop("_row"), "batch-settled"))
             index.begin(settled.filter(F.col("reject_reason").isNull()).select("conv_claim_id"), batch_id)
             outcome = F.when(F.col("reject_reason").isNull(), "accepted").otherwise("rejected")
             writer = settled.withColumn("batch_id", F.lit(batch_id).cast("long")).withColumn("outcome", outcome).write
             writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             writer.partitionBy("batch_id", "outcome").parquet(target)
         finally:
-            remove_dir(spark, staged)
-            remove_dir(spark, f"{staged}-settled")
+            for folder in staged:
+                remove_dir(spark, folder)
 
     return (
         raw.writeStream.foreachBatch(settle)

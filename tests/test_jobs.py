@@ -116,6 +116,37 @@ def test_load_routes_archives_and_logs(spark, tmp_path, keys):
     assert sorted(r.status for r in log.collect()) == ["No file", "Success", "Success"]
 
 
+def test_settling_shuffles_no_row_that_is_rejected_already(spark, tmp_path, keys, conf):
+    """Rows without an id would gather in one task, and only whole rows of ids that repeat are compared."""
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions="8")
+    blank = [line(claim_id="  ") for _ in range(600)]
+    path = inbound(str(tmp_path / "in" / "c.csv"), *blank, *[line(claim_id=str(i)) for i in range(300)], line(claim_id="7", day="2026-01-06"))
+    shuffled = []
+
+    def stage(df, name):
+        df.write.parquet(str(tmp_path / name))
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        shuffled.append((name, plan))
+        return spark.read.parquet(str(tmp_path / name))
+
+    rows = stage(readers.read_inbound_claims(spark, path).withColumn("_row", F.monotonically_increasing_id()), "rows")
+    classified = stage(etl.key_claims(rows, *keys), "classified")
+    assert classified.columns == ["_row", "conv_claim_id", "reject_reason"]
+    loaded = spark.range(250, 260).withColumnRenamed("id", "claim_id")
+    settled = etl.settled_claims(etl.settle_claims(rows, classified, loaded, stage)).collect()
+    reasons = {(r.conv_claim_id, str(r.conv_service_date), r.reject_reason) for r in settled}
+    accepted = {(i, "2026-01-06" if i == 7 else "2026-01-05", None) for i in range(300) if not 250 <= i < 260}
+    refused = {(i, "2026-01-05", "claim already loaded") for i in range(250, 260)}
+    assert len(settled) == 901
+    assert reasons == accepted | refused | {(None, "2026-01-05", "claim_id: missing"), (7, "2026-01-05", "claim repeated in file")}
+    for name, plan in shuffled:
+        if name in ("claims-ids", "claims-several", "claims-reasons"):
+            lines = plan.splitlines()
+            scans = [i for i, text in enumerate(lines) if "Relation [_row" in text and "reject_reason" in text]
+            assert scans and all("null(reject_reason" in lines[i - 1] for i in scans), plan
+            assert "denial_reason" not in plan or name == "claims-reasons", plan
+
+
 def test_routing_is_a_partition(spark, keys):
     claims = spark.createDataFrame(
         [(i, [1, 2, 3, None][i % 4], [10, 99, None][i % 3]) for i in range(60)],

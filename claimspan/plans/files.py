@@ -166,10 +166,10 @@ add(
 
 
 def _loaded(t: Tables) -> tuple[DataFrame, str]:
-    base = scratch_dir(t.spark, "load-job")
+    base, inbound = scratch_dir(t.spark, "load-job"), write_inbound(t)
     for _ in range(2):  # the second run must reject everything it finds loaded
         result = etl.load_new_claims(
-            t.spark, write_inbound(t), t.members, t.providers, f"{base}/claims", f"{base}/rejects", f"{base}/log", RUN_AT
+            t.spark, inbound, t.members, t.providers, f"{base}/claims", f"{base}/rejects", f"{base}/log", RUN_AT
         )
         if not result.balanced:
             raise RuntimeError(f"load does not balance: {result}")

@@ -224,6 +224,9 @@ def check_envelope(segments: DataFrame) -> DataFrame:
 ENVELOPES = (("ISA", 13, "IEA"), ("GS", 6, "GE"), ("ST", 2, "SE"))
 TRAILER_CONTROL, TRAILER_COUNT = 2, 1
 
+# Segments in a run, whose headers and trailers are ordered at once.
+RUN_BITS = 17
+
 # What can be wrong with an envelope.
 UNCLOSED = "unclosed"
 UNOPENED = "unopened"
@@ -242,8 +245,8 @@ def envelope_issues(segments: DataFrame) -> DataFrame:
     (that of transactions counts segments, see ``check_envelope``).
 
     Only headers and trailers are ordered: what stands open before a segment comes from a running last value inside its
-    split, and from one row per split for all splits before it, so an envelope may begin in one split and end in
-    another, and no file gathers in one task.
+    run of at most 2 ** RUN_BITS segments, and from one row per run for all runs before it, so an envelope may begin in
+    one run or split and end in another, and neither a file nor a split gathers in one sort.
     """
     headers, trailers = [h for h, _, _ in ENVELOPES], [t for _, _, t in ENVELOPES]
     named = F.col("segment_id")
@@ -252,20 +255,26 @@ def envelope_issues(segments: DataFrame) -> DataFrame:
         place = F.when(named == header, F.lit(element)).otherwise(place)
     level = F.coalesce(*[F.when(named.isin(h, t), F.lit(k)) for k, (h, _, t) in enumerate(ENVELOPES)])
     marks = segments.filter(named.isin(*headers, *trailers)).select(
-        "file", "block", "seq", level.alias("level"), named.isin(*headers).alias("opens"),
+        F.xxhash64("file").alias("code"), "block", F.shiftright("seq", RUN_BITS).alias("run"), "seq", level.alias("level"), named.isin(*headers).alias("opens"),
         F.coalesce(strip(F.get("elements", place)), F.lit("")).alias("control"),
         F.get("elements", F.lit(TRAILER_COUNT)).try_cast("bigint").alias("declared"),
     )
     levels = range(len(ENVELOPES))
     state = F.struct("opens", "control", F.struct("block", "seq").alias("at"))
     of_level = [F.when(F.col("level") == k, state) for k in levels]
-    # The last mark of each kind in a split, and in all splits before one.
-    per_split = marks.groupBy("file", "block").agg(*[F.max_by(c, F.when(c.isNotNull(), F.col("seq"))).alias(f"last{k}") for k, c in enumerate(of_level)])
-    splits_before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_split.select("file", "block", *[F.last(f"last{k}", ignorenulls=True).over(splits_before).alias(f"carried{k}") for k in levels])
-    marks_before = Window.partitionBy("file", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    run, place_in_run = Window.partitionBy("code", "block", "run"), F.col("seq")
+    marks_so_far = run.orderBy(place_in_run).rowsBetween(Window.unboundedPreceding, 0)
+    marks_before = run.orderBy(place_in_run).rowsBetween(Window.unboundedPreceding, -1)
+    # The last mark of each kind in a run, which its last row knows, and in all runs before one.
+    known = marks.select(
+        "code", "block", "run", *[F.last(c, ignorenulls=True).over(marks_so_far).alias(f"last{k}") for k, c in enumerate(of_level)],
+        F.lead("seq").over(run.orderBy(place_in_run)).alias("next"),
+    )
+    per_run = known.filter(F.col("next").isNull()).drop("next")
+    runs_before = Window.partitionBy("code").orderBy("block", "run").rowsBetween(Window.unboundedPreceding, -1)
+    carried = per_run.select("code", "block", "run", *[F.last(f"last{k}", ignorenulls=True).over(runs_before).alias(f"carried{k}") for k in levels])
     here = [F.last(c, ignorenulls=True).over(marks_before).alias(f"here{k}") for k, c in enumerate(of_level)]
-    seen = marks.select("*", *here).join(carried, ["file", "block"]).select(
+    seen = marks.select("*", *here).join(carried, ["code", "block", "run"]).select(
         *marks.columns, *[F.coalesce(f"here{k}", f"carried{k}").alias(f"before{k}") for k in levels]
     )
 
@@ -275,30 +284,41 @@ def envelope_issues(segments: DataFrame) -> DataFrame:
     own = by_level(lambda k: F.col(f"before{k}"))
     inner = F.coalesce(F.when(F.col("level") == 0, F.col("before1")), F.when(F.col("level") == 1, F.col("before2")))
     outer = F.coalesce(F.when(F.col("level") == 1, F.col("before0")), F.when(F.col("level") == 2, F.col("before1")))
-    seen = seen.select("file", "level", "opens", "control", "declared", F.struct("block", "seq").alias("at"),
+    seen = seen.select("code", "level", "opens", "control", "declared", F.struct("block", "seq").alias("at"),
                        own.alias("own"), inner.alias("inner"), F.when(outer["opens"], outer["at"]).alias("parent"))
     open_own = F.coalesce(F.col("own.opens"), F.lit(False))
     name = F.element_at(F.array(*[F.lit(h) for h in headers]), F.col("level") + 1).alias("envelope")
 
-    def found(rows: DataFrame, condition: Column, control: str, issue: str) -> DataFrame:
-        return rows.filter(condition).select("file", name, F.col(control).alias("control_number"), F.lit(issue).alias("issue"))
+    def issue(condition: Column, control: str, text: str) -> Column:
+        return F.when(condition, F.struct(F.col(control).alias("control_number"), F.lit(text).alias("issue")))
+
+    def found(rows: DataFrame, *issues: Column) -> DataFrame:
+        each = rows.select("code", name, F.explode(F.array_compact(F.array(*issues))).alias("found"))
+        return each.select("code", "envelope", "found.*")
 
     closes = ~F.col("opens")
-    children = seen.filter(F.col("opens") & F.col("parent").isNotNull()).groupBy("file", (F.col("level") - 1).alias("level"), F.col("parent").alias("header"))
+    children = seen.filter(F.col("opens") & F.col("parent").isNotNull()).groupBy("code", (F.col("level") - 1).alias("level"), F.col("parent").alias("header"))
     closed = seen.filter(closes & open_own & (F.col("level") < len(ENVELOPES) - 1)).withColumn("header", F.col("own.at"))
-    counted = closed.join(children.agg(F.count("*").alias("held")), ["file", "level", "header"], "left")
-    repeated = seen.filter("opens").groupBy("file", "level", "parent", "control").agg(F.count("*").alias("n"))
-    at_end = marks.groupBy("file", "level").agg(F.max_by(F.struct("opens", "control"), F.struct("block", "seq")).alias("own"))
+    counted = closed.join(children.agg(F.count("*").alias("held")), ["code", "level", "header"], "left")
+    repeated = seen.filter("opens").groupBy("code", "level", "parent", "control").agg(F.count("*").alias("n"))
+    lasts = [F.struct(F.lit(k).alias("level"), F.col(f"last{k}").alias("own")) for k in levels]
+    lasts = per_run.select("code", F.explode(F.array(*lasts)).alias("mark")).select("code", "mark.*").filter(F.col("own").isNotNull())
+    at_end = lasts.groupBy("code", "level").agg(F.max_by("own", F.col("own.at")).alias("own"))
     issues = [
-        found(seen, F.col("opens") & open_own, "own.control", UNCLOSED),
-        found(at_end, open_own, "own.control", UNCLOSED),
-        found(seen, closes & ~open_own, "control", UNOPENED),
-        found(seen, closes & open_own & (F.col("own.control") != F.col("control")), "own.control", MISMATCH),
-        found(seen, closes & open_own & F.col("inner.opens") & (F.col("inner.at") > F.col("own.at")), "own.control", CROSSED),
-        found(repeated, F.col("n") > 1, "control", REPEATED),
-        found(counted, ~F.col("declared").eqNullSafe(F.coalesce("held", F.lit(0))), "own.control", MISCOUNTED),
+        found(
+            seen,
+            issue(F.col("opens") & open_own, "own.control", UNCLOSED),
+            issue(closes & ~open_own, "control", UNOPENED),
+            issue(closes & open_own & (F.col("own.control") != F.col("control")), "own.control", MISMATCH),
+            issue(closes & open_own & F.col("inner.opens") & (F.col("inner.at") > F.col("own.at")), "own.control", CROSSED),
+        ),
+        found(at_end, issue(open_own, "own.control", UNCLOSED)),
+        found(repeated, issue(F.col("n") > 1, "control", REPEATED)),
+        found(counted, issue(~F.col("declared").eqNullSafe(F.coalesce("held", F.lit(0))), "own.control", MISCOUNTED)),
     ]
-    return reduce(DataFrame.unionByName, issues)
+    # Rows carry a code of their file, as its path would be most of each; files are named at the end.
+    files = segments.select("file").distinct().withColumn("code", F.xxhash64("file"))
+    return reduce(DataFrame.unionByName, issues).join(F.broadcast(files), "code").select("file", "envelope", "control_number", "issue")
 
 
 # ---------------------------------------------------------------- rule checks and load control

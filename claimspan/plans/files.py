@@ -481,7 +481,7 @@ def _enveloped(t: Tables) -> str:
         if(fault = 9, concat('SE*4*', c), null),
         if(fault = 7, null, concat('IEA*', if(fault = 10, 5, 1), '*', c)))) as segments""")
     twice = "if(fault = 11, concat(segments, segments), segments)"
-    body.selectExpr("c", f"concat_ws('~\n', {twice}) as value").repartitionByRange(4, "c").sortWithinPartitions("c").select(
+    body.selectExpr("c", f"concat_ws('~\n', {twice}) as value").repartitionByRange("c").sortWithinPartitions("c").select(
         "value").write.option("lineSep", "~\n").text(path)
     return path
 

@@ -79,3 +79,15 @@ def test_issues_equal_a_plain_reading(spark, tmp_path, conf, split):
     assert got == expected and len({issue for *_, issue in got}) == 6
     if split == "40":
         assert read.rdd.getNumPartitions() > 20
+
+
+@pytest.mark.parametrize("bits", [0, 3])
+def test_no_sort_holds_more_than_a_run_of_a_split(spark, tmp_path, monkeypatch, bits):
+    monkeypatch.setattr(edi, "RUN_BITS", bits)
+    segments = random_segments(random.Random(9), 400)
+    (tmp_path / "f.834").write_text("~\n".join("*".join(s) for s in segments) + "~\n")
+    issues = edi.envelope_issues(edi.read_segments(spark, str(tmp_path))).drop("file")
+    assert Counter(tuple(r) for r in issues.collect()) == brute(segments)
+    plan = issues._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line and "seq" in line]
+    assert windows and all("run#" in line for line in windows)

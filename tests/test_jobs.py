@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimspan.operators import etl
+from claimspan.plans import files as plans
+from claimspan.plans.registry import QUERIES
 from claimspan.sources import readers
 from claimspan.sources.schemas import INBOUND_COLUMNS
 from claimspan.streaming import files as streams, incremental
@@ -147,6 +149,19 @@ def test_settling_shuffles_no_row_that_is_rejected_already(spark, tmp_path, keys
             assert "denial_reason" not in plan or name == "claims-reasons", plan
 
 
+def test_both_runs_of_the_load_job_read_one_file(spark, tmp_path, monkeypatch):
+    columns = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
+    rows = [(i, 1, "O", 1.0, datetime(1999, 1, 1), "1-URGENT") for i in range(20)]
+    spark.createDataFrame(rows, columns).write.parquet(str(tmp_path / "orders.parquet"))
+    spark.sql("select 1L as c_custkey, 'n' as c_name, 's' as c_mktsegment, 1 as c_nationkey").write.parquet(str(tmp_path / "customer.parquet"))
+    spark.sql("select id as s_suppkey, 'n' as s_name, 1 as s_nationkey from range(200)").write.parquet(str(tmp_path / "supplier.parquet"))
+    write, written = plans.write_inbound, []
+    monkeypatch.setattr(plans, "write_inbound", lambda t: written.append(write(t)) or written[-1])
+    log = QUERIES["D5_run_log"](spark, str(tmp_path)).collect()
+    assert sorted((r.rows_inserted, r.rows_rejected) for r in log) == [(0, 20), (20, 0)]
+    assert len(written) == 1
+
+
 def test_routing_is_a_partition(spark, keys):
     claims = spark.createDataFrame(
         [(i, [1, 2, 3, None][i % 4], [10, 99, None][i % 3]) for i in range(60)],

@@ -459,6 +459,44 @@ def test_lines_of_the_declared_similarity_are_found(session):
     assert {r.doc_id: r.first_doc_id for r in line_dedup.find(frame).collect()} == expected
 
 
+def test_lines_that_only_share_words_are_not_fetched_for_comparison(session, monkeypatch):
+    fetched, sketches = [], line_dedup._sketches
+    monkeypatch.setattr(line_dedup, "_sketches", lambda docs, heads: (fetched.append(heads.count()), sketches(docs, heads))[1])
+    # All lines have the same 41 words; as 41 is a prime, no two of them have the same word behind the same word.
+    rows = [(k, " ".join(f"word{i * (k + 1) % 41}" for i in range(41))) for k in range(40)]
+    rows.append((40, " ".join(["new", *rows[7][1].split()[1:]])))
+    frame = session.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.first_doc_id for r in line_dedup.find(frame).collect()} == {k: k for k in range(40)} | {40: 7}
+    assert fetched == [2]
+
+
+def test_pairs_at_the_border_of_the_similarity_share_a_key(session):
+    rng, rows, expected = random.Random(15), [], {}
+    for n in range(line_dedup.MIN_WORDS, 42):
+        line = [f"{rng.choice(WORDS)}{rng.randrange(10**9)}" for _ in range(n)]
+        for m in range(n, n * 100 // line_dedup.PERCENT + 1):
+            edits = m * (100 - line_dedup.PERCENT) // 100
+            # New words stand among the old ones, evenly, and replace others, so that as few pairs as possible stay.
+            places = set(rng.sample(range(m), m - n))
+            old = iter(line)
+            longer = [f"new{rng.randrange(10**12)}" if k in places else next(old) for k in range(m)]
+            for k in rng.sample([k for k in range(m) if k not in places], edits - (m - n)):
+                longer[k] = f"new{rng.randrange(10**12)}"
+            own = [f"{w}x{m}" if w in line else w for w in longer]
+            expected |= {len(rows): len(rows), len(rows) + 1: len(rows)}
+            rows += [(len(rows), " ".join(f"{w}x{m}" for w in line)), (len(rows) + 1, " ".join(own))]
+    frame = session.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.first_doc_id for r in line_dedup.find(frame).collect()} == expected
+
+
+def test_no_plan_of_line_dedup_holds_a_large_constant(session, plain):
+    ids = session.createDataFrame([(k,) for k in range(500)], "doc_id long")
+    for held in (line_dedup._counts(line_dedup.lines(plain)), line_dedup._document_filter(ids, "doc_id")):
+        assert len(str(held)) < 200_000
+    chosen = session.range(0, 2000, 1).withColumnRenamed("id", "doc_id").where(line_dedup._document_filter(ids, "doc_id"))
+    assert {r.doc_id for r in chosen.collect()} >= set(range(500)) and chosen.count() < 600
+
+
 def test_near_copies_of_very_long_lines_are_found(session):
     rng = random.Random(13)
     n = line_dedup.MAX_WORDS + 1500

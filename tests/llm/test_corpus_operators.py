@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions
 import tiktoken
 from tokenizers import Tokenizer
 import xxhash
@@ -489,6 +490,13 @@ def test_pairs_at_the_border_of_the_similarity_share_a_key(session):
     assert {r.doc_id: r.first_doc_id for r in line_dedup.find(frame).collect()} == expected
 
 
+def test_texts_are_cut_into_words_once(plain, monkeypatch):
+    monkeypatch.setattr(line_dedup, "_counts", lambda found: functions.expr("array_repeat(0L, 8192)"))
+    found = line_dedup.lines(plain)
+    for made in (found, line_dedup.rare_pairs(found)):
+        assert made._jdf.queryExecution().optimizedPlan().toString().count("lower(") == 1
+
+
 def test_no_plan_of_line_dedup_holds_a_large_constant(session, plain):
     ids = session.createDataFrame([(k,) for k in range(500)], "doc_id long")
     for held in (line_dedup._counts(line_dedup.lines(plain)), line_dedup._document_filter(ids, "doc_id")):

@@ -497,6 +497,18 @@ def test_texts_are_cut_into_words_once(plain, monkeypatch):
         assert made._jdf.queryExecution().optimizedPlan().toString().count("lower(") == 1
 
 
+def test_long_lines_that_share_pairs_of_words_are_not_fetched_for_comparison(session, monkeypatch):
+    fetched, sketches = [], line_dedup._sketches
+    monkeypatch.setattr(line_dedup, "_sketches", lambda found, heads: (fetched.append(heads.count()), sketches(found, heads))[1])
+    rng = random.Random(17)
+    rows = [(k, " ".join(rng.sample([f"word{i}" for i in range(400)], 180))) for k in range(30)]
+    keys = [{*zip(w, w[1:])} for w in (t.split() for _, t in rows)]
+    assert any(a & b for k, a in enumerate(keys) for b in keys[:k])
+    frame = session.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.first_doc_id for r in line_dedup.find(frame).collect()} == {k: k for k in range(30)}
+    assert fetched == [0]
+
+
 def test_no_plan_of_line_dedup_holds_a_large_constant(session, plain):
     ids = session.createDataFrame([(k,) for k in range(500)], "doc_id long")
     for held in (line_dedup._counts(line_dedup.lines(plain)), line_dedup._document_filter(ids, "doc_id")):
